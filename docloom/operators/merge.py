@@ -7,6 +7,7 @@ join against only those target keys that the batch touches. A full outer join al
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
@@ -15,7 +16,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docloom.staging import scratch_path
+from docloom.staging import scratch_root, stage
 
 
 @dataclass(frozen=True)
@@ -166,36 +167,44 @@ def replace_by_key(
 def change_set(before: DataFrame, after: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """What turned ``before`` into ``after``: one row per inserted, updated or deleted key.
 
-    Keys must be unique on both sides. Updates compare all ``columns``, NULL equal to NULL.
+    Keys must be unique on both sides; all ``columns`` are compared, NULL equal to NULL. Only keys and
+    row digests are shuffled to find the changes, which are staged; full rows are then looked up by key.
     """
-    old = before.select(key, F.struct(*columns).alias("old")).alias("b")
-    new = after.select(key, F.struct(*columns).alias("new")).alias("a")
-    joined = old.join(new, F.col(f"b.{key}") == F.col(f"a.{key}"), "full_outer")
-    kind = (
-        F.when(F.col("old").isNull(), "insert")
-        .when(F.col("new").isNull(), "delete")
-        .when(~F.col("old").eqNullSafe(F.col("new")), "update")
-    )
-    current = F.coalesce(F.col("new"), F.col("old"))
-    return (
-        joined.select(
-            F.coalesce(F.col(f"a.{key}"), F.col(f"b.{key}")).alias(key),
-            kind.alias("change_type"),
-            *[current[c].alias(c) for c in columns],
-        )
-        .filter(F.col("change_type").isNotNull())
+    def digest(df: DataFrame, name: str) -> DataFrame:
+        row = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+        return df.select(key, F.sha2(row, 256).alias(name))
+
+    old, new = digest(before, "_old"), digest(after, "_new")
+    kind = F.when(F.col("_old").isNull(), "insert").when(F.col("_new").isNull(), "delete").otherwise("update")
+    changed = stage(
+        old.join(new, key, "full_outer")
+        .filter(~F.col("_old").eqNullSafe(F.col("_new")))
+        .select(key, kind.alias("change_type")),
+        "changes",
     )
+    arrived = after.select(key, *columns).join(changed.filter("change_type <> 'delete'"), key)
+    removed = before.select(key, *columns).join(changed.filter("change_type = 'delete'"), key)
+    return arrived.unionByName(removed).select(key, "change_type", *columns)
 
 
-def publish(df: DataFrame, table: str, root: str | None = None) -> None:
+def publish(df: DataFrame, table: str, root: str | None = None, bucket: tuple[int, str] | None = None) -> None:
     """Write ``df`` as a new Parquet directory and point ``table`` at it.
 
     The directory being read is never overwritten, so ``df`` may derive from the table itself,
-    and a failed write leaves the table as it was.
+    and a failed write leaves the table as it was. ``bucket`` (count, column) must be how the table
+    was created: joins of two such tables on that column then need no shuffle.
     """
     spark = df.sparkSession
-    label = table.split(".")[-1].strip("`")
-    path = scratch_path(spark, label) if root is None else f"{root.rstrip('/')}/{scratch_path(spark, label).rsplit('/', 1)[1]}"
-    df.write.parquet(path)
+    name = f"{table.split('.')[-1].strip('`')}-{uuid.uuid4().hex}"
+    path = f"{(root or scratch_root(spark)).rstrip('/')}/{name}"
+    if bucket is None:
+        df.write.parquet(path)
+    else:
+        # Bucketed files can only be written through a table; dropping it leaves the files.
+        count, column = bucket
+        writing = f"{table}_{uuid.uuid4().hex[:12]}"
+        (df.repartition(count, column).write.format("parquet").bucketBy(count, column).sortBy(column)
+           .option("path", path).saveAsTable(writing))
+        spark.sql(f"DROP TABLE {writing}")
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
     spark.catalog.refreshTable(table)

@@ -76,9 +76,17 @@ def surrogate_keys(
     return ids.withColumn(id_column, last.scalar() + F.col("_n")).drop("_n")
 
 
-def hashed_key(*columns: str) -> Column:
-    """A surrogate that needs no order and stays the same across reruns."""
-    return F.xxhash64(*columns)
+PAGE_BITS = 20
+
+
+def chunk_key(metadata_id: Column, page_number: Column) -> Column:
+    """Chunk id from document id and page: unique, and the same whenever the page is chunked again.
+
+    A text cell holds at most 2 GB, so page numbers stay far below 2**20; anything else is an error.
+    """
+    fits = (page_number >= 0) & (page_number < (1 << PAGE_BITS)) & (metadata_id >= 0)
+    key = F.shiftleft(metadata_id.cast("bigint"), PAGE_BITS) + page_number
+    return F.when(fits, key).otherwise(F.raise_error(F.lit("page number or document id out of range")).cast("bigint"))
 
 
 def id_slices(ids: DataFrame, column: str, size: int) -> DataFrame:

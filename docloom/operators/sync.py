@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from docloom.functions.metadata import iso_timestamp
 from docloom.operators.merge import Insert, Update, merge
 from docloom.schemas import COMPLETED, DEFAULTS, ISO_PATTERN, SYNC
+from docloom.staging import stage
 
 
 def denormalise(
@@ -57,11 +58,16 @@ def upsert_search_rows(
 
 
 def prune(sync: DataFrame, chunks: DataFrame, superseded: DataFrame | None = None) -> DataFrame:
-    """Drop search rows whose chunk is gone or belongs to a superseded document version."""
+    """Drop search rows whose chunk is gone or belongs to a superseded document version.
+
+    Ids alone decide; the ids to drop are staged, so Spark knows how few they are and can leave the
+    wide rows where they lie.
+    """
     live = chunks.select("chunk_id", "metadata_id")
     if superseded is not None:
         live = live.join(superseded.select("metadata_id"), "metadata_id", "left_anti")
-    return sync.join(live.select("chunk_id"), "chunk_id", "left_semi")
+    gone = stage(sync.select("chunk_id").join(live.select("chunk_id"), "chunk_id", "left_anti"), "gone")
+    return sync.join(gone, "chunk_id", "left_anti")
 
 
 def latest_per_chunk(changes: DataFrame, version: str = "audit__updated_date") -> DataFrame:

@@ -143,18 +143,15 @@ def export(meta: DataFrame) -> DataFrame:
     return meta.select(*columns)
 
 
-def before_size() -> Column:
-    return F.when(F.col("lang") == "en", 3000).otherwise(2000)
+BEFORE, AFTER = (3000, 2000), (2000, 3000)
 
 
-def after_size() -> Column:
-    return F.when(F.col("lang") == "en", 2000).otherwise(3000)
-
-
-def page_documents(spark: SparkSession, sf_dir: str, size: Column | int = PAGE_CHARS) -> DataFrame:
-    """One row per document with its page array."""
+def page_documents(spark: SparkSession, sf_dir: str, sizes: tuple[int, int] = (PAGE_CHARS, PAGE_CHARS)) -> DataFrame:
+    """One row per document with its page array; page sizes are for English and for other documents."""
+    english, other = (page_array(F.col("text"), size) for size in sizes)
+    pages = english if sizes[0] == sizes[1] else F.when(F.col("lang") == "en", english).otherwise(other)
     return table(spark, sf_dir, "documents").select(
-        F.col("doc_id").alias("metadata_id"), "lang", page_array(F.col("text"), size).alias("pdf_text")
+        F.col("doc_id").alias("metadata_id"), "lang", pages.alias("pdf_text")
     )
 
 
@@ -162,10 +159,10 @@ def failed_chunk() -> Column:
     return (F.col("metadata_id") % 13 == 0) | (F.col("document_page_number") % 3 == 0)
 
 
-def chunks(spark: SparkSession, sf_dir: str, size: Column | int = PAGE_CHARS) -> DataFrame:
+def chunks(spark: SparkSession, sf_dir: str, sizes: tuple[int, int] = (PAGE_CHARS, PAGE_CHARS)) -> DataFrame:
     """Chunk rows with a simulated embedding outcome and the number of their vector."""
     n_vectors = table(spark, sf_dir, "embeddings").agg(F.count(F.lit(1))).scalar()
-    rows = page_documents(spark, sf_dir, size).select("metadata_id", "lang", F.explode("pdf_text").alias("p"))
+    rows = page_documents(spark, sf_dir, sizes).select("metadata_id", "lang", F.explode("pdf_text").alias("p"))
     rows = rows.select(
         (F.col("metadata_id") * 1000 + F.col("p.page_number")).alias("chunk_id"),
         "metadata_id",
@@ -181,9 +178,9 @@ def chunks(spark: SparkSession, sf_dir: str, size: Column | int = PAGE_CHARS) ->
     })
 
 
-def chunks_with_vectors(spark: SparkSession, sf_dir: str, size: Column | int = PAGE_CHARS) -> DataFrame:
+def chunks_with_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    return chunks(spark, sf_dir, size).join(vectors, "vec_id", "left")
+    return chunks(spark, sf_dir).join(vectors, "vec_id", "left")
 
 
 def questions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -94,10 +94,10 @@ def merge_flag_superseded(spark, sf_dir):
             CASE WHEN s.metadata_id IS NULL THEN '{fx.EARLIER}' ELSE '{fx.NOW}' END AS audit__updated_date
           FROM target t FULL OUTER JOIN source s USING (metadata_id)""", "fx_pages_before", "fx_pages_after")
 def merge_upsert_pages(spark, sf_dir):
-    target = fx.page_documents(spark, sf_dir, fx.before_size()).withColumns({
+    target = fx.page_documents(spark, sf_dir, fx.BEFORE).withColumns({
         "extraction_status": F.lit(COMPLETED), "audit__created_date": _time(fx.EARLIER),
         "audit__updated_date": _time(fx.EARLIER)}).drop("lang")
-    source = fx.page_documents(spark, sf_dir, fx.after_size()).withColumns({
+    source = fx.page_documents(spark, sf_dir, fx.AFTER).withColumns({
         "metadata_id": F.when(F.col("lang") == "en", F.col("metadata_id")).otherwise(F.col("metadata_id") + 1000000),
         "extraction_status": F.lit(COMPLETED)})
     now = _time(fx.NOW)
@@ -120,8 +120,8 @@ def merge_upsert_pages(spark, sf_dir):
           WHERE metadata_id IN (SELECT doc_id FROM labels)""", "fx_chunks_before", "fx_chunks_after")
 def merge_replace_by_key(spark, sf_dir):
     columns = ["chunk_id", "metadata_id", "chunk_text", "document_page_number"]
-    target = fx.chunks(spark, sf_dir, fx.before_size()).select(*columns)
-    rechunked = stages.in_batch(fx.chunks(spark, sf_dir, fx.after_size()), _labelled(spark, sf_dir)).select(*columns)
+    target = fx.chunks(spark, sf_dir, fx.BEFORE).select(*columns)
+    rechunked = stages.in_batch(fx.chunks(spark, sf_dir, fx.AFTER), _labelled(spark, sf_dir)).select(*columns)
     return mg.replace_by_key(target, rechunked, "metadata_id")
 
 
@@ -158,12 +158,12 @@ def merge_vectors(spark, sf_dir):
 def merge_conditional(spark, sf_dir):
     meta = fx.metadata(spark, sf_dir)
     columns = ["chunk_id", "document_title", "chunk_text", "audit__updated_date"]
-    old = fx.chunks(spark, sf_dir, fx.before_size()).withColumn("audit__updated_date", _time(fx.EARLIER))
+    old = fx.chunks(spark, sf_dir, fx.BEFORE).withColumn("audit__updated_date", _time(fx.EARLIER))
     target = sync.denormalise(old, meta, columns)
     revised = meta.withColumn("document_title", F.concat("document_title", F.lit(" (revised)")))
     restricted = meta.select("metadata_id", (F.col("classification") == "Restricted").alias("restricted"))
     stamped = F.when(F.col("restricted"), _time(fx.EARLIER)).otherwise(_time(fx.LATER))
-    new = fx.chunks(spark, sf_dir, fx.after_size()).join(restricted, "metadata_id").withColumn(
+    new = fx.chunks(spark, sf_dir, fx.AFTER).join(restricted, "metadata_id").withColumn(
         "audit__updated_date", stamped)
     source = sync.denormalise(new, revised, columns)
     merged = sync.upsert_search_rows(target, source, as_of=_time(fx.NOW))
@@ -179,8 +179,8 @@ def merge_conditional(spark, sf_dir):
           WHERE a.chunk_id IS NULL OR b.chunk_id IS NULL OR a.chunk_text IS DISTINCT FROM b.chunk_text
             OR a.vec_id IS DISTINCT FROM b.vec_id""", "fx_chunks_before", "fx_chunks_after")
 def change_set(spark, sf_dir):
-    before = fx.chunks(spark, sf_dir, fx.before_size())
-    after = fx.chunks(spark, sf_dir, fx.after_size())
+    before = fx.chunks(spark, sf_dir, fx.BEFORE)
+    after = fx.chunks(spark, sf_dir, fx.AFTER)
     return mg.change_set(before, after, "chunk_id", ["chunk_text", "vec_id"])
 
 
@@ -230,8 +230,8 @@ def sync_denormalise(spark, sf_dir):
               FROM fx_meta) WHERE r > 1))""", "fx_chunks_before", "fx_chunks_after", "fx_meta")
 def sync_prune(spark, sf_dir):
     meta = fx.metadata(spark, sf_dir)
-    table = sync.denormalise(fx.chunks(spark, sf_dir, fx.before_size()), meta, ["chunk_id", "document_title"])
-    current = fx.chunks(spark, sf_dir, fx.after_size())
+    table = sync.denormalise(fx.chunks(spark, sf_dir, fx.BEFORE), meta, ["chunk_id", "document_title"])
+    current = fx.chunks(spark, sf_dir, fx.AFTER)
     return sync.prune(table, current, versions.superseded(meta)).select("chunk_id", "document_title")
 
 
@@ -245,8 +245,8 @@ _LOG = ["chunk_id", "chunk_text", "vec_id", "audit__updated_date"]
 
 
 def _changes(spark, sf_dir):
-    before = fx.chunks(spark, sf_dir, fx.before_size()).withColumn("audit__updated_date", _time(fx.EARLIER))
-    after = fx.chunks(spark, sf_dir, fx.after_size()).withColumn("audit__updated_date", _time(fx.LATER))
+    before = fx.chunks(spark, sf_dir, fx.BEFORE).withColumn("audit__updated_date", _time(fx.EARLIER))
+    after = fx.chunks(spark, sf_dir, fx.AFTER).withColumn("audit__updated_date", _time(fx.LATER))
     return before.unionByName(after).select(*_LOG, "embedding_status")
 
 

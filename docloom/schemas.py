@@ -117,6 +117,9 @@ TABLES = {
     "download_status": DOWNLOAD_STATUS,
 }
 
+# Tables that stages join on metadata_id.
+BUCKETED = ("docs_metadata", "docs_pages", "docs_embeddings")
+
 # Column defaults as SQL text; also applied by merges to the columns an insert omits.
 _NOW = "current_timestamp()"
 _AUDIT_DEFAULTS = {"audit__created_date": _NOW, "audit__updated_date": _NOW}

@@ -12,6 +12,7 @@ def local_session(app: str = "docloom", cpus: str | int = "*", shuffle_partition
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.driver.memory", os.environ.get("DOCLOOM_DRIVER_MEMORY", "12g"))
+        .config("spark.driver.host", "127.0.0.1")
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")

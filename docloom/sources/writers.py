@@ -9,7 +9,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.schemas import COMPLETED, DEFAULTS, FAILED, TABLES
+from docloom.schemas import BUCKETED, COMPLETED, DEFAULTS, FAILED, TABLES
 
 ACCEPTED_CONTENT = "application/octet-stream"
 
@@ -40,8 +40,13 @@ def read_watermark(spark: SparkSession, path: str, out: str = "incremental_date"
     return spark.read.schema(f"{out} STRING").json(path)
 
 
-def create_tables(spark: SparkSession, database: str, root: str | None = None) -> list[str]:
-    """Create the corpus tables that do not exist yet, with their nested types and column defaults."""
+def create_tables(
+    spark: SparkSession, database: str, root: str | None = None, buckets: int | None = None
+) -> list[str]:
+    """Create the corpus tables that do not exist yet, with their nested types and column defaults.
+
+    With ``buckets``, tables joined on ``metadata_id`` are bucketed by it.
+    """
     names = []
     for table, schema in TABLES.items():
         defaults: Mapping[str, str] = DEFAULTS[table]
@@ -50,7 +55,9 @@ def create_tables(spark: SparkSession, database: str, root: str | None = None) -
             for f in schema
         )
         location = f" LOCATION '{root.rstrip('/')}/{table}'" if root else ""
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{table} ({columns}) USING parquet{location}")
+        bucketed = table in BUCKETED and buckets
+        clause = f" CLUSTERED BY (metadata_id) SORTED BY (metadata_id) INTO {buckets} BUCKETS" if bucketed else ""
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{table} ({columns}) USING parquet{clause}{location}")
         names.append(f"{database}.{table}")
     return names
 
