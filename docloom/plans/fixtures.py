@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from docloom.functions.text import PAGE_CHARS, page_array
 from docloom.schemas import COMPLETED, EXPORT_FIELDS, EXPORT_RENAMES, FAILED
+from docloom.staging import spread
 
 # Runs unchanged in both engines; {documents} is the table.
 METADATA_SQL = """
@@ -143,6 +144,11 @@ def export(meta: DataFrame) -> DataFrame:
     return meta.select(*columns)
 
 
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("metadata_id"), "lang", "text")
+    return spread(documents, "metadata_id")
+
+
 BEFORE, AFTER = (3000, 2000), (2000, 3000)
 
 
@@ -150,9 +156,7 @@ def page_documents(spark: SparkSession, sf_dir: str, sizes: tuple[int, int] = (P
     """One row per document with its page array; page sizes are for English and for other documents."""
     english, other = (page_array(F.col("text"), size) for size in sizes)
     pages = english if sizes[0] == sizes[1] else F.when(F.col("lang") == "en", english).otherwise(other)
-    return table(spark, sf_dir, "documents").select(
-        F.col("doc_id").alias("metadata_id"), "lang", pages.alias("pdf_text")
-    )
+    return texts(spark, sf_dir).select("metadata_id", "lang", pages.alias("pdf_text"))
 
 
 def failed_chunk() -> Column:

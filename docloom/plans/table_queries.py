@@ -21,7 +21,7 @@ from docloom.schemas import (
     BATCH_COUNT, COMPLETED, DEFAULTS, EXPORT_RENAMES, ISO_PATTERN, METADATA, STAGE_COLUMNS, VERSION_KEY,
 )
 from docloom.sources import readers, writers
-from docloom.staging import scratch_path, stage
+from docloom.staging import scratch_path, spread, stage
 
 QUERIES = {}
 ORACLE = {}
@@ -244,8 +244,7 @@ def doc_prefix(spark, sf_dir):
 @query("SELECT metadata_id, page_number, page_text, total_pages, 'COMPLETED' AS extraction_status FROM fx_pages",
        "fx_pages")
 def extract_text_pages(spark, sf_dir):
-    documents = fx.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("metadata_id"), "text")
-    pages = corpus.with_pages(documents, page_array(F.col("text")))
+    pages = corpus.with_pages(fx.texts(spark, sf_dir), page_array(F.col("text")))
     return pages.select("metadata_id", "extraction_status", F.inline("pdf_text"))
 
 
@@ -266,7 +265,8 @@ trim(regexp_replace(regexp_replace(
            FROM (SELECT *, unnest(range(0, CAST(ceil(length(txt) / 2000.0) AS BIGINT))) AS p
                  FROM (SELECT page_id, {_HTML_TEXT} AS txt FROM pages))""")
 def extract_html_text(spark, sf_dir):
-    text = fx.table(spark, sf_dir, "pages").select("page_id", html_to_text(F.col("html")).alias("text"))
+    raw = spread(fx.table(spark, sf_dir, "pages").select("page_id", "html"), "page_id")
+    text = raw.select("page_id", html_to_text(F.col("html")).alias("text"))
     return text.select("page_id", F.inline(page_array(F.col("text"))))
 
 
@@ -274,7 +274,7 @@ def extract_html_text(spark, sf_dir):
           -1 AS total_pages FROM fx_meta WHERE download_status <> 'COMPLETED'""", "fx_meta")
 def extract_failures(spark, sf_dir):
     landed = fx.metadata(spark, sf_dir).select("metadata_id", "download_status")
-    text = fx.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("metadata_id"), "text")
+    text = fx.texts(spark, sf_dir)
     content = F.when(F.col("download_status") == COMPLETED, F.col("text"))
     pages = corpus.with_pages(landed.join(text, "metadata_id"), page_array(content))
     failed = pages.filter(F.col("extraction_status") != COMPLETED)
@@ -330,7 +330,7 @@ def embed_hashing(spark, sf_dir):
        "fx_meta")
 def keyword_tags(spark, sf_dir):
     titles = fx.metadata(spark, sf_dir).select("metadata_id", "document_title")
-    text = fx.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("metadata_id"), "text")
+    text = fx.texts(spark, sf_dir)
     body = F.concat_ws(" ", "document_title", "text")
     return titles.join(text, "metadata_id").select(
         "metadata_id", F.array_join(find_keywords(body, TITLE_KEYWORDS), ",").alias("tags")
