@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 PAGE_CHARS = 2000
@@ -45,7 +45,16 @@ def page_array(text: Column, chars: int = PAGE_CHARS) -> Column:
 
     # Wrapping binds the cut pages to a variable: named twice, evaluated once.
     bound = F.transform(F.array(pieces), pages)[0]
-    return F.when(F.size(bound) > 0, bound)
+    return F.when(F.length(text) > 0, bound)
+
+
+def explode_pages(df: DataFrame, pages: str, *keep: str) -> DataFrame:
+    """One row per page, its struct in ``_page``; NULL or empty arrays give no rows.
+
+    The outer form with a filter after it: for an inner explode the optimiser adds a size test that
+    it pushes down to the scan, and pages cut in the same query would then be cut twice.
+    """
+    return df.select(*keep, F.explode_outer(pages).alias("_page")).filter(F.col("_page").isNotNull())
 
 
 def keyword_tags(text: Column, keywords: Sequence[str]) -> Column:

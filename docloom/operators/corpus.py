@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docloom.functions.text import tokens
+from docloom.functions.text import explode_pages, tokens
 from docloom.schemas import COMPLETED, FAILED, PAGE
 
 RETRY_WAITS = (1.0, 2.0, 4.0)
@@ -76,7 +76,7 @@ def decode_pages(
 def chunk_pages(documents: DataFrame) -> DataFrame:
     """One chunk row per page. Documents with a NULL or empty page array give no rows."""
     page = F.col("_page")
-    return documents.select("metadata_id", F.explode("pdf_text").alias("_page")).select(
+    return explode_pages(documents, "pdf_text", "metadata_id").select(
         "metadata_id",
         page["page_text"].alias("chunk_text"),
         page["page_number"].alias("document_page_number"),

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.functions.text import PAGE_CHARS, page_array
+from docloom.functions.text import PAGE_CHARS, explode_pages, page_array
 from docloom.schemas import COMPLETED, EXPORT_FIELDS, EXPORT_RENAMES, FAILED
 from docloom.staging import spread
 
@@ -166,14 +166,13 @@ def failed_chunk() -> Column:
 def chunks(spark: SparkSession, sf_dir: str, sizes: tuple[int, int] = (PAGE_CHARS, PAGE_CHARS)) -> DataFrame:
     """Chunk rows with a simulated embedding outcome and the number of their vector."""
     n_vectors = table(spark, sf_dir, "embeddings").agg(F.count(F.lit(1))).scalar()
-    rows = page_documents(spark, sf_dir, sizes).select("metadata_id", "lang", F.explode("pdf_text").alias("p"))
-    rows = rows.select(
-        (F.col("metadata_id") * 1000 + F.col("p.page_number")).alias("chunk_id"),
+    rows = explode_pages(page_documents(spark, sf_dir, sizes), "pdf_text", "metadata_id", "lang").select(
+        (F.col("metadata_id") * 1000 + F.col("_page.page_number")).alias("chunk_id"),
         "metadata_id",
         "lang",
-        F.col("p.page_text").alias("chunk_text"),
-        F.col("p.page_number").alias("document_page_number"),
-        F.col("p.total_pages").alias("document_total_pages"),
+        F.col("_page.page_text").alias("chunk_text"),
+        F.col("_page.page_number").alias("document_page_number"),
+        F.col("_page.total_pages").alias("document_total_pages"),
     )
     vector = (F.col("metadata_id") * 1000 + F.col("document_page_number") * 37) % n_vectors
     return rows.withColumns({

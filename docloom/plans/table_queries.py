@@ -12,7 +12,7 @@ from docloom.functions.filters import FlatFilter, TypeRule, UnitFilter
 from docloom.functions.metadata import (
     align, composite_path, document_prefix, id_batch, iso_timestamp, landing_prefix, normalise_names, target_path,
 )
-from docloom.functions.text import html_to_text, page_array
+from docloom.functions.text import explode_pages, html_to_text, page_array
 from docloom.functions.text import keyword_tags as find_keywords
 from docloom.operators import corpus, positions, stages, versions
 from docloom.operators.chat import TITLE_KEYWORDS
@@ -245,7 +245,8 @@ def doc_prefix(spark, sf_dir):
        "fx_pages")
 def extract_text_pages(spark, sf_dir):
     pages = corpus.with_pages(fx.texts(spark, sf_dir), page_array(F.col("text")))
-    return pages.select("metadata_id", "extraction_status", F.inline("pdf_text"))
+    return explode_pages(pages, "pdf_text", "metadata_id", "extraction_status").select(
+        "metadata_id", "extraction_status", "_page.*")
 
 
 _HTML_TEXT = r"""
@@ -267,7 +268,8 @@ trim(regexp_replace(regexp_replace(
 def extract_html_text(spark, sf_dir):
     raw = spread(fx.table(spark, sf_dir, "pages").select("page_id", "html"), "page_id")
     text = raw.select("page_id", html_to_text(F.col("html")).alias("text"))
-    return text.select("page_id", F.inline(page_array(F.col("text"))))
+    pages = text.select("page_id", page_array(F.col("text")).alias("pages"))
+    return explode_pages(pages, "pages", "page_id").select("page_id", "_page.*")
 
 
 @query("""SELECT metadata_id, 'FAILED' AS extraction_status, -1 AS page_number, 'Error: no content' AS page_text,
@@ -278,7 +280,8 @@ def extract_failures(spark, sf_dir):
     content = F.when(F.col("download_status") == COMPLETED, F.col("text"))
     pages = corpus.with_pages(landed.join(text, "metadata_id"), page_array(content))
     failed = pages.filter(F.col("extraction_status") != COMPLETED)
-    return failed.select("metadata_id", "extraction_status", F.inline("pdf_text"))
+    return explode_pages(failed, "pdf_text", "metadata_id", "extraction_status").select(
+        "metadata_id", "extraction_status", "_page.*")
 
 
 @query("""SELECT metadata_id, page_text AS chunk_text, page_number AS document_page_number,
