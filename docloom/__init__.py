@@ -1 +1,8 @@
 """Document-corpus analytics on Spark: metadata loads, merges, chunking, retrieval."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in tasks travel with the job, so workers need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -58,7 +58,8 @@ def merge(
 
     The first matched clause whose condition holds applies. NULL keys never match. Two source
     rows for one updated target row are an error at run time, even when a clause condition
-    would choose between them; unmatched duplicates are all inserted.
+    would choose between them; unmatched duplicates are all inserted. The source is read several
+    times (one small job looks for repeated keys), so stage it when it is costly.
     """
     on = list(on)
     kept = _apply_matched(target, source, on, matched) if matched else target
@@ -77,17 +78,17 @@ def _apply_matched(
     if len(clauses) == 1 and isinstance(clauses[0], Delete) and clauses[0].when is None:
         return target.join(source.select(*on).distinct(), on, "left_anti").select(*target.columns)
 
-    repeated = source.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows")).filter("_rows > 1")
-    joined = (
-        target.alias("tgt")
-        .join(source.withColumn("_hit", F.lit(True)).alias("src"), _same_key(on, "src"), "left")
-        .join(repeated.alias("dup"), _same_key(on, "dup"), "left")
-    )
-    # A filter, not a column: projections above cannot prune the check away.
-    several = F.concat(F.lit("several source rows match one target row on "), F.lit(", ".join(on)))
-    checked = joined.filter(
-        F.when(F.col("dup._rows").isNotNull(), F.raise_error(several).cast("boolean")).otherwise(F.lit(True))
+    checked = target.alias("tgt").join(
+        source.withColumn("_hit", F.lit(True)).alias("src"), _same_key(on, "src"), "left"
     )
+    repeated = source.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows")).filter("_rows > 1")
+    if not repeated.isEmpty():
+        # Only then is a second join needed; without it Spark can split hot target keys in the first.
+        # A filter, not a column: projections above cannot prune the check away.
+        several = F.lit(f"several source rows match one target row on {', '.join(on)}")
+        checked = checked.join(repeated.alias("dup"), _same_key(on, "dup"), "left").filter(
+            F.when(F.col("dup._rows").isNotNull(), F.raise_error(several).cast("boolean")).otherwise(F.lit(True))
+        )
 
     hit = F.coalesce(F.col("src._hit"), F.lit(False))
     fires = [hit if c.when is None else hit & F.coalesce(c.when, F.lit(False)) for c in clauses]

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docloom.operators.positions import running_total
+from docloom.staging import stage
 
 NUMBER, MAJOR, MINOR = "document_number", "document_major_version", "document_minor_version"
 
@@ -33,13 +34,14 @@ def _rank_across_tasks(df: DataFrame, out: str) -> DataFrame:
     placed = running_total(versions, order, F.col("_rows"), "_through").withColumn(
         "_before", F.col("_through") - F.col("_rows")
     )
-    starts = placed.groupBy(NUMBER).agg(F.min("_before").alias("_start"))
+    starts = stage(placed.groupBy(NUMBER).agg(F.min("_before").alias("_start")), "starts")
     ranks = placed.alias("p").join(
         starts.alias("s"), F.col(f"p.{NUMBER}").eqNullSafe(F.col(f"s.{NUMBER}"))
     ).select(
         *[F.col(f"p.{c}").alias(f"_{c}") for c in (NUMBER, MAJOR, MINOR)],
         (F.col("_before") - F.col("_start") + 1).cast("int").alias(out),
     )
+    ranks = stage(ranks, "ranks")
     same = [df[c].eqNullSafe(ranks[f"_{c}"]) for c in (NUMBER, MAJOR, MINOR)]
     return df.join(ranks, same).select(*[df[c] for c in df.columns], ranks[out])
 
@@ -52,6 +54,7 @@ def with_latest(df: DataFrame, out: str = "is_latest_doc_in_dl") -> DataFrame:
     # Struct comparison puts NULL below every value, which is where a missing version belongs.
     version = F.struct(MAJOR, MINOR)
     newest = df.groupBy(F.col(NUMBER).alias("_number")).agg(F.max(version).alias("_newest"))
+    newest = stage(newest, "newest")
     return (
         df.join(newest, F.col(NUMBER).eqNullSafe(F.col("_number")), "left")
         .withColumn(out, version.eqNullSafe(F.col("_newest")))

@@ -2,6 +2,10 @@
 
 Stages run slow or non-deterministic work (model calls, decoders) exactly once
 and cut lineage, so a lost executor re-reads files instead of redoing the work.
+
+An aggregate that is joined back to its own rows is staged too: Spark then knows its size, so it can
+broadcast it when it is small, and can split a hot key of the other side when it is not. It does
+neither well while the aggregate is still part of the joining stage.
 """
 
 from __future__ import annotations
