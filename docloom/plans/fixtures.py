@@ -81,7 +81,7 @@ SELECT metadata_id * 1000 + page_number AS chunk_id, metadata_id, lang, page_tex
   page_number AS document_page_number, total_pages AS document_total_pages,
   CASE WHEN metadata_id % 13 = 0 OR page_number % 3 = 0 THEN 'FAILED' ELSE 'COMPLETED' END AS embedding_status,
   CASE WHEN NOT (metadata_id % 13 = 0 OR page_number % 3 = 0)
-    THEN (metadata_id * 1000 + page_number * 37) % (SELECT count(*) FROM embeddings) END AS vec_id
+    THEN (metadata_id * 31 + page_number * 37) % (SELECT count(*) FROM embeddings) END AS vec_id
 FROM {pages}"""
 
 
@@ -174,7 +174,7 @@ def chunks(spark: SparkSession, sf_dir: str, sizes: tuple[int, int] = (PAGE_CHAR
         F.col("_page.page_number").alias("document_page_number"),
         F.col("_page.total_pages").alias("document_total_pages"),
     )
-    vector = (F.col("metadata_id") * 1000 + F.col("document_page_number") * 37) % n_vectors
+    vector = (F.col("metadata_id") * 31 + F.col("document_page_number") * 37) % n_vectors
     return rows.withColumns({
         "embedding_status": F.when(failed_chunk(), FAILED).otherwise(COMPLETED),
         "vec_id": F.when(~failed_chunk(), vector),
