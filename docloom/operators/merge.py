@@ -3,6 +3,7 @@
 A merge never shuffles the target when the change batch is small: matched rows come from a left
 outer join (Spark may broadcast the batch, and may split hot target keys), new rows from an anti
 join against only those target keys that the batch touches. A full outer join allows neither.
+Key sets are staged, so that the join with them is planned by their real size.
 """
 
 from __future__ import annotations
@@ -76,7 +77,8 @@ def _apply_matched(
     target: DataFrame, source: DataFrame, on: list[str], clauses: Sequence[Update | Delete]
 ) -> DataFrame:
     if len(clauses) == 1 and isinstance(clauses[0], Delete) and clauses[0].when is None:
-        return target.join(source.select(*on).distinct(), on, "left_anti").select(*target.columns)
+        keys = stage(source.select(*on).distinct(), "keys")
+        return target.join(keys, on, "left_anti").select(*target.columns)
 
     checked = target.alias("tgt").join(
         source.withColumn("_hit", F.lit(True)).alias("src"), _same_key(on, "src"), "left"
@@ -114,7 +116,7 @@ def _apply_matched(
 
 
 def _new_rows(target: DataFrame, source: DataFrame, on: list[str], clause: Insert) -> DataFrame:
-    touched = target.select(*on).join(source.select(*on), on, "left_semi").distinct()
+    touched = stage(target.select(*on).join(source.select(*on), on, "left_semi").distinct(), "touched")
     new = source.join(touched, on, "left_anti")
     if clause.when is not None:
         new = new.filter(clause.when)
@@ -153,7 +155,8 @@ def replace_by_key(
     target: DataFrame, source: DataFrame, key: str, defaults: Mapping[str, str] | None = None
 ) -> DataFrame:
     """All target rows of every key in ``source`` give way to that key's source rows, in one result."""
-    kept = target.join(source.select(key).distinct(), key, "left_anti").select(*target.columns)
+    keys = stage(source.select(key).distinct(), "keys")
+    kept = target.join(keys, key, "left_anti").select(*target.columns)
     given = set(source.columns)
     columns = []
     for f in target.schema:

@@ -45,7 +45,7 @@ class Corpus:
         return F.current_timestamp() if self.as_of is None else self.as_of
 
     def write_status(self, statuses: DataFrame, column: str, value: str | None = None) -> None:
-        known = self.read("docs_metadata")
+        known, statuses = self.read("docs_metadata"), stage(statuses, "statuses")
         self.write(update_column(known, statuses, "metadata_id", column, value, self.now), "docs_metadata")
 
     def batch(self, stage_name: str, *columns: str) -> DataFrame:
