@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from docloom.operators import merge as mg
 from docloom.operators import stages, sync, versions
+from docloom.operators.corpus import embed_from_vectors
 from docloom.plans import fixtures as fx
 from docloom.plans.table_queries import query
 from docloom.schemas import COMPLETED, DEFAULTS, FAILED, VERSION_KEY, VIEWABLE_RENDITION
-from docloom.staging import scratch_path
+from docloom.staging import scratch_path, stage
 from docloom.streaming import sync_stream
 
 _SHOW = "yyyy-MM-dd HH:mm:ss"
@@ -100,6 +101,7 @@ def merge_upsert_pages(spark, sf_dir):
     source = fx.page_documents(spark, sf_dir, fx.AFTER).withColumns({
         "metadata_id": F.when(F.col("lang") == "en", F.col("metadata_id")).otherwise(F.col("metadata_id") + 1000000),
         "extraction_status": F.lit(COMPLETED)})
+    source = stage(source, "source")
     now = _time(fx.NOW)
     merged = mg.merge(
         target, source, ["metadata_id"],
@@ -122,19 +124,17 @@ def merge_replace_by_key(spark, sf_dir):
     columns = ["chunk_id", "metadata_id", "chunk_text", "document_page_number"]
     target = fx.chunks(spark, sf_dir, fx.BEFORE).select(*columns)
     rechunked = stages.in_batch(fx.chunks(spark, sf_dir, fx.AFTER), _labelled(spark, sf_dir)).select(*columns)
-    return mg.replace_by_key(target, rechunked, "metadata_id")
+    return mg.replace_by_key(target, stage(rechunked, "rechunked"), "metadata_id")
 
 
 @query("""SELECT c.chunk_id, c.embedding_status, CAST(coalesce(len(e.embedding), 0) AS INTEGER) AS dimensions,
           round(coalesce(list_sum(CAST(e.embedding AS DOUBLE[])), 0), 3) AS total
           FROM fx_chunks c LEFT JOIN embeddings e USING (vec_id)""", "fx_chunks")
 def merge_vectors(spark, sf_dir):
-    from docloom.operators.corpus import embed_from_vectors
-
     chunks = fx.chunks(spark, sf_dir)
     target = chunks.select("chunk_id", F.lit(None).cast("array<float>").alias("embedding"),
                            F.lit(None).cast("string").alias("embedding_status"))
-    source = embed_from_vectors(chunks, fx.table(spark, sf_dir, "embeddings"), "vec_id")
+    source = stage(embed_from_vectors(chunks, fx.table(spark, sf_dir, "embeddings"), "vec_id"), "vectors")
     merged = mg.merge(target, source, ["chunk_id"], [mg.Update({
         "embedding": F.col("src.embedding"), "embedding_status": F.col("src.embedding_status")})])
     total = F.aggregate("embedding", F.lit(0.0), lambda acc, x: acc + x.cast("double"))
@@ -166,6 +166,7 @@ def merge_conditional(spark, sf_dir):
     new = fx.chunks(spark, sf_dir, fx.AFTER).join(restricted, "metadata_id").withColumn(
         "audit__updated_date", stamped)
     source = sync.denormalise(new, revised, columns)
+    target, source = stage(target, "target"), stage(source, "source")
     merged = sync.upsert_search_rows(target, source, as_of=_time(fx.NOW))
     return merged.select("chunk_id", "document_title", "chunk_text", _shown("audit__updated_date"))
 
