@@ -16,6 +16,7 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docloom.staging import scratch_root, stage
 
@@ -73,6 +74,17 @@ def _same_key(on: Sequence[str], right: str) -> Column:
     return reduce(and_, [F.col(f"tgt.{k}") == F.col(f"{right}.{k}") for k in on])
 
 
+def _nullable(kind: T.DataType) -> T.DataType:
+    """The type with NULL allowed at every level: a target built in the same query may forbid it inside."""
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_nullable(kind.elementType))
+    if isinstance(kind, T.MapType):
+        return T.MapType(_nullable(kind.keyType), _nullable(kind.valueType))
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _nullable(f.dataType)) for f in kind])
+    return kind
+
+
 def _apply_matched(
     target: DataFrame, source: DataFrame, on: list[str], clauses: Sequence[Update | Delete]
 ) -> DataFrame:
@@ -103,7 +115,7 @@ def _apply_matched(
     for f in target.schema:
         current = F.col(f"tgt.{f.name}")
         branches = [
-            (cond, clause.values.get(f.name, current).cast(f.dataType))
+            (cond, clause.values.get(f.name, current).cast(_nullable(f.dataType)))
             for cond, clause in zip(fires, clauses)
             if isinstance(clause, Update)
         ]
@@ -131,7 +143,7 @@ def _new_rows(target: DataFrame, source: DataFrame, on: list[str], clause: Inser
             value = F.expr(clause.defaults[f.name])
         else:
             value = F.lit(None)
-        columns.append(value.cast(f.dataType).alias(f.name))
+        columns.append(value.cast(_nullable(f.dataType)).alias(f.name))
     return new.select(*columns)
 
 
@@ -164,7 +176,7 @@ def replace_by_key(
             value = F.col(f.name)
         else:
             value = F.expr((defaults or {}).get(f.name, "NULL"))
-        columns.append(value.cast(f.dataType).alias(f.name))
+        columns.append(value.cast(_nullable(f.dataType)).alias(f.name))
     return kept.unionByName(source.select(*columns))
 
 

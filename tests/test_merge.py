@@ -145,3 +145,15 @@ def test_bucketed_tables_join_without_a_shuffle(spark):
         assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_nested_values_from_storage_meet_a_target_that_forbids_null_inside(spark):
+    def nested(k, v):
+        return spark.range(1).select(F.lit(k).alias("k"), F.array(F.struct(F.lit(v).alias("n"))).alias("pages"))
+
+    path = scratch_path(spark, "nested")
+    nested(1, 7).unionByName(nested(2, 8)).write.parquet(path)
+    source, target = spark.read.parquet(path), nested(1, 5)
+    merged = merge(target, source, ["k"], [Update({"pages": F.col("src.pages")})], Insert())
+    assert rows(merged.selectExpr("k", "pages[0].n")) == [(1, 7), (2, 8)]
+    assert rows(replace_by_key(target, source, "k").selectExpr("k", "pages[0].n")) == [(1, 7), (2, 8)]
