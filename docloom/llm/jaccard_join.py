@@ -37,7 +37,8 @@ from docloom.staging import stage
 
 SHINGLE, PERCENT = 5, 75
 SKETCH_CELLS, SKETCH_CHUNK, SKETCH_FAN = 1 << 20, 1 << 16, 512
-LEAF_PAIRS, PIVOTS = 10, 4
+# By depth of the recursion: deep regions are few, so they may compare more pairs and take more pivots at once.
+LEAF_PAIRS, PIVOTS = (10, 160, 2560), (4, 16, 64)
 ROWS_OUT = 2000
 
 
@@ -143,12 +144,12 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Size of the intersection of two sorted sets, per row."""
     for batch in batches:
         out = []
-        for x, y in zip(batch.column(2), batch.column(3), strict=True):
+        for x, y in zip(batch.column(4), batch.column(5), strict=True):
             x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
             x, y = (x, y) if len(x) <= len(y) else (y, x)
             at = np.searchsorted(y, x)
             out.append(int((y[np.minimum(at, len(y) - 1)] == x).sum()))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.int64())], ["x", "y", "shared"])
+        yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(out, pa.int64())], ["x", "y", "nx", "ny", "shared"])
 
 
 def _regions(homes: DataFrame) -> DataFrame:
@@ -164,27 +165,27 @@ def _regions(homes: DataFrame) -> DataFrame:
 
 
 def _distances(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(x, y, shared, far): exact intersection, only for pairs whose sizes alone allow a link (else ``shared`` -1)."""
-    pairs = stage(pairs.groupBy("x", "y").agg(F.first("nx").alias("nx"), F.first("ny").alias("ny")), "jj-pairs")
-    near = pairs.filter(f"100 * least(nx, ny) >= {percent} * greatest(nx, ny)").select("x", "y")
-    left = near.join(sets.select(F.col("key").alias("x"), F.col("shingles").alias("sx")), "x")
+    """(x, y, linked, d): exact distances; a lower bound where the sizes alone rule a link out."""
+    pairs = stage(pairs.groupBy("x", "y").agg(F.first("nx").alias("nx"), F.first("ny").alias("ny"))
+                  .withColumn("near", F.expr(f"100 * least(nx, ny) >= {percent} * greatest(nx, ny)")), "jj-pairs")
+    left = pairs.filter("near").join(sets.select(F.col("key").alias("x"), F.col("shingles").alias("sx")), "x")
     both = left.join(sets.select(F.col("key").alias("y"), F.col("shingles").alias("sy")), "y")
-    shared = stage(both.select("x", "y", "sx", "sy").mapInArrow(_shared, "x long, y long, shared long"), "jj-shared")
-    out = pairs.join(shared, ["x", "y"], "left")
+    schema = "x long, y long, nx long, ny long, shared long"
+    shared = both.select("x", "y", "nx", "ny", "sx", "sy").mapInArrow(_shared, schema)
     union = F.col("nx") + F.col("ny") - F.col("shared")
-    exact = 1 - F.col("shared") / union
-    bound = 1 - F.least("nx", "ny") / F.greatest("nx", "ny")
-    return out.select("x", "y", F.coalesce(F.lit(100) * F.col("shared") >= percent * union, F.lit(False)).alias("linked"),
-                      F.coalesce(exact, bound).alias("d"), F.col("shared").isNotNull().alias("exact"))
+    exact = shared.select("x", "y", (F.lit(100) * F.col("shared") >= percent * union).alias("linked"), (1 - F.col("shared") / union).alias("d"))
+    return exact.union(pairs.filter("NOT near").select("x", "y", F.lit(False), 1 - F.least("nx", "ny") / F.greatest("nx", "ny")))
 
 
 def _join_regions(regions: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) that connect exactly what all links connect."""
-    spark, eps, links = regions.sparkSession, 1 - percent / 100, None
+    spark, eps, links, depth = regions.sparkSession, 1 - percent / 100, None, -1
     while True:
+        depth += 1
+        pairs, some = (steps[min(depth, len(steps) - 1)] for steps in (LEAF_PAIRS, PIVOTS))
         size = stage(regions.groupBy(F.col("region").alias("r")).agg(
             F.count_if(F.col("side") == 0).alias("n0"), F.count_if(F.col("side") == 1).alias("n1"), F.count_if(F.col("side") == 2).alias("n2"))
-            .withColumn("leaf", F.expr(f"n0 * (n0 - 1) / 2 + n1 * n2 <= {LEAF_PAIRS}")), "jj-size")
+            .withColumn("leaf", F.expr(f"n0 * (n0 - 1) / 2 + n1 * n2 <= {pairs}")), "jj-size")
         if size.isEmpty():
             return links if links is not None else spark.createDataFrame([], "a long, b long")
         sized = regions.join(size, F.col("region") == F.col("r"))
@@ -193,16 +194,12 @@ def _join_regions(regions: DataFrame, sets: DataFrame, percent: int) -> DataFram
         small = leaf.join(other, (F.col("region") == F.col("r2")) & F.expr(
             "(side = 0 AND side2 = 0 AND key < y) OR (side = 1 AND side2 = 2)")).select(
             F.col("key").alias("x"), "y", F.col("n").alias("nx"), "ny")
-        # Pivots: the least hashes of the side that shrinks. Aggregates of bounded lists, combined before the shuffle.
+        # Pivots: the least hash of each of a few slots, of the side that shrinks; min() is combined before the shuffle.
         big = sized.filter("NOT leaf").select("region", "key", "n", "side")
-        ranked = big.filter("side <> 1").select("region", F.struct(F.xxhash64("region", "key").alias("h"), "key", "n").alias("p"))
-        pivots = None
-        for _ in range(PIVOTS):  # one at a time: min() is combined map-side and needs no list per region
-            left = ranked if pivots is None else ranked.join(pivots, (F.col("region") == F.col("pr")) & (F.col("p.key") == F.col("pivot")), "left_anti")
-            picked = left.groupBy(F.col("region").alias("pr")).agg(F.min("p").alias("p")).select("pr", F.col("p.key").alias("pivot"), F.col("p.n").alias("pn"))
-            pivots = stage(picked if pivots is None else pivots.union(picked), "jj-pivots")
-            if pivots.isEmpty():
-                break
+        mixed = F.xxhash64("region", "key", F.lit(depth))
+        pivots = stage(big.filter("side <> 1").groupBy(F.col("region").alias("pr"), F.pmod(mixed, F.lit(some)).alias("slot"))
+                       .agg(F.min(F.struct(mixed.alias("h"), "key", "n")).alias("p"))
+                       .select("pr", F.col("p.key").alias("pivot"), F.col("p.n").alias("pn")), "jj-pivots")
         against = big.filter("side <> 2").join(pivots, (F.col("region") == F.col("pr")) & (F.col("key") != F.col("pivot")))
         measured = stage(against.select("region", "key", "n", "side", "pivot", "pn"), "jj-measured")
         wide = measured.select(F.least("key", "pivot").alias("x"), F.greatest("key", "pivot").alias("y"),

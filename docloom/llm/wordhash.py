@@ -58,12 +58,12 @@ def text_blocks(texts: pa.Array):
         row = end
 
 
-def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_bounds(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = _SPACES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of every word, and for each text the index of its first word (one more at the end)."""
     if len(data) == 0:
         none = np.zeros(0, dtype=np.int64)
         return none, none, np.zeros(len(offsets), dtype=np.int64)
-    inside = ~_SPACES[data]
+    inside = ~between[data]
     cut = np.zeros(len(data) + 1, dtype=bool)
     cut[offsets] = True
     begins, ends = inside.copy(), inside.copy()
