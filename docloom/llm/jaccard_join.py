@@ -36,7 +36,8 @@ from docloom.llm.wordhash import mix, shingle_sets
 from docloom.staging import stage
 
 SHINGLE, PERCENT = 5, 75
-SKETCH_CELLS, SKETCH_CHUNK, SKETCH_FAN = 1 << 20, 1 << 16, 512
+SKETCH_CELLS, SKETCH_ROWS, SKETCH_CHUNK, SKETCH_FAN = 1 << 21, 2, 1 << 17, 512
+REGION_BITS = 1 << 25
 # By depth of the recursion: deep regions are few, so they may compare more pairs and take more pivots at once.
 LEAF_PAIRS, PIVOTS = (10, 160, 2560), (4, 16, 64)
 ROWS_OUT = 2000
@@ -48,15 +49,22 @@ def _key(shingles: np.ndarray) -> int:
     return int(mix(np.array([total]) + np.uint64(len(shingles)))[0].view(np.int64))
 
 
+def _cells(shingles: np.ndarray) -> list[np.ndarray]:
+    """One cell of every sketch row per shingle."""
+    last = np.uint64(SKETCH_CELLS - 1)
+    return [((shingles >> np.uint64(shift)) & last) + np.uint64(row * SKETCH_CELLS) for row, shift in enumerate((10, 40))]
+
+
 def _sketch_tasks(size: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells, task = np.zeros(SKETCH_CELLS, dtype=np.int64), 0
+        cells, task = np.zeros(SKETCH_ROWS * SKETCH_CELLS, dtype=np.int64), 0
         for batch in batches:
             for _, found in shingle_sets(batch.column(0), size):
                 if len(found):
                     task = task or int(found[0] & np.uint64(SKETCH_FAN - 1))
-                    np.add.at(cells, (found >> np.uint64(40)) & np.uint64(SKETCH_CELLS - 1), 1)
-        for chunk in range(SKETCH_CELLS // SKETCH_CHUNK):
+                    for at in _cells(found):
+                        np.add.at(cells, at, 1)
+        for chunk in range(SKETCH_ROWS * SKETCH_CELLS // SKETCH_CHUNK):
             part = cells[chunk * SKETCH_CHUNK:(chunk + 1) * SKETCH_CHUNK]
             if part.any():
                 yield pa.RecordBatch.from_arrays(
@@ -73,22 +81,22 @@ def _add_chunks(table: pa.Table) -> pa.Table:
 
 
 def pivot_classes(docs: DataFrame, size: int = SHINGLE) -> np.ndarray:
-    """Frequency class of every sketch cell, from all shingles of all documents; 1 MB whatever the input.
+    """Frequency class of every sketch cell, from all shingles of all documents; 4 MB whatever the input.
 
     Tasks count into a fixed number of cells; chunks of cells are added in two steps of bounded groups. Class 0
-    holds cells no fuller than chance explains, each further class doubles. Only the order of pivots depends
+    holds cells no fuller than chance explains; of two cells the emptier counts. Only the order of pivots depends
     on it, never the result.
     """
     schema = "chunk int, task int, counts binary"
     parts = docs.select("text").mapInArrow(_sketch_tasks(size), schema)
     for keys in (["chunk", "task"], ["chunk"]):
         parts = parts.groupBy(*keys).applyInArrow(_add_chunks, schema)
-    cells = np.zeros(SKETCH_CELLS, dtype=np.float64)
+    cells = np.zeros(SKETCH_ROWS * SKETCH_CELLS, dtype=np.float32)
     for row in parts.toArrow().to_pylist():
         cells[row["chunk"] * SKETCH_CHUNK:][:SKETCH_CHUNK] = np.frombuffer(zlib.decompress(row["counts"]), dtype=np.int64)
-    mean = cells.mean()
-    usual = mean + 4 * mean ** 0.5 + 4
-    return np.where(cells > usual, 1 + np.log2(np.maximum(cells, 1) / usual), 0).astype(np.uint8)
+    mean = float(cells.mean())
+    usual = mean + 3 * mean ** 0.5 + 3
+    return np.where(cells > usual, np.minimum(31, 1 + 2 * np.log2(np.maximum(cells, 1) / usual)), 0).astype(np.uint8)
 
 
 def _home_tasks(classes: np.ndarray, size: int, percent: int):
@@ -109,9 +117,9 @@ def _home_tasks(classes: np.ndarray, size: int, percent: int):
                 n.append(len(found))
                 keys.append(_key(found) if len(found) else None)
                 take = len(found) - (percent * len(found) + 99) // 100 + 1 if len(found) else 0
-                order = mix(found) >> np.uint64(6)
-                order |= classes[(found >> np.uint64(40)) & np.uint64(SKETCH_CELLS - 1)].astype(np.uint64) << np.uint64(58)
-                firsts.append(found[np.argpartition(order, take - 1)[:take]].view(np.int64) if take else np.zeros(0, np.int64))
+                common = np.minimum(*[classes[at] for at in _cells(found)]).astype(np.uint64)
+                order = (mix(found) >> np.uint64(6)) | common << np.uint64(58)
+                firsts.append(np.sort(np.partition(order, take - 1)[:take]).view(np.int64) if take else np.zeros(0, np.int64))
                 if len(n) == ROWS_OUT:
                     yield flush(batch.column(0)[done:row + 1])
                     done, n, keys, firsts = row + 1, [], [], []
@@ -140,44 +148,105 @@ def _set_tasks(wanted: np.ndarray, size: int):
     return sets
 
 
+def _common(x: np.ndarray, y: np.ndarray) -> int:
+    """Size of the intersection of two sorted arrays without repeats."""
+    x, y = (x, y) if len(x) <= len(y) else (y, x)
+    if not len(x):
+        return 0
+    at = np.searchsorted(y, x)
+    return int((y[np.minimum(at, len(y) - 1)] == x).sum())
+
+
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Size of the intersection of two sorted sets, per row."""
+    for batch in batches:
+        out = [_common(np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64))
+               for x, y in zip(batch.column(4), batch.column(5), strict=True)]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(out, pa.int64())], ["x", "y", "nx", "ny", "most"])
+
+
+def _bounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The most two sets can share, from their first pivots: both are known completely up to the nearer end."""
     for batch in batches:
         out = []
-        for x, y in zip(batch.column(4), batch.column(5), strict=True):
-            x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-            x, y = (x, y) if len(x) <= len(y) else (y, x)
-            at = np.searchsorted(y, x)
-            out.append(int((y[np.minimum(at, len(y) - 1)] == x).sum()))
-        yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(out, pa.int64())], ["x", "y", "nx", "ny", "shared"])
+        for nx, ny, x, y in zip(*[batch.column(i) for i in range(2, 6)], strict=True):
+            x, y = x.values.to_numpy(), y.values.to_numpy()
+            end = min(x[-1], y[-1])
+            x, y = x[:np.searchsorted(x, end, side="right")], y[:np.searchsorted(y, end, side="right")]
+            out.append(_common(x, y) + min(nx.as_py() - len(x), ny.as_py() - len(y)))
+        yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(out, pa.int64())], ["x", "y", "nx", "ny", "most"])
+
+
+def _alive_tasks(alive: np.ndarray):
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(2)
+            pivots = lists.flatten().to_numpy()
+            owner = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
+            at = np.flatnonzero(may_contain(alive, pivots.view(np.uint64)))
+            for a in range(0, len(at), 100_000):
+                rows = pa.array(owner[at[a:a + 100_000]])
+                yield pa.RecordBatch.from_arrays([pa.array(pivots[at[a:a + 100_000]]), batch.column(0).take(rows), batch.column(1).take(rows)], ["region", "key", "n"])
+
+    return keep
 
 
 def _regions(homes: DataFrame) -> DataFrame:
-    """(region, key, n, side) of every region with two sets or more; of regions with the same members one stays."""
-    entries = homes.select(F.explode("pivots").alias("region"), "key", "n")
+    """(region, key, n, side) of every region with two sets or more; of regions with the same members one stays.
+
+    A filter of fixed size keeps most entries of lone regions out of the second shuffle; the join decides.
+    """
+    entries = homes.select(F.explode("pivots").alias("region"), "key")
     alive = stage(entries.groupBy("region").agg(F.min("key").alias("low"), F.max("key").alias("high"))
                   .filter("low <> high").select(F.col("region").alias("alive")), "jj-alive")
-    members = stage(entries.join(alive, F.col("region") == F.col("alive"), "left_semi").distinct(), "jj-members")
+    maybe = homes.select("key", "n", "pivots").mapInArrow(_alive_tasks(bit_filter(alive, "alive", REGION_BITS)), "region long, key long, n long")
+    members = stage(maybe.join(alive, F.col("region") == F.col("alive"), "left_semi").distinct(), "jj-members")
     digest = members.groupBy("region").agg(F.count("*").alias("g"), F.sum(F.xxhash64("key").cast("decimal(38,0)")).alias("f"))
     chosen = stage(digest.groupBy("g", "f").agg(F.min("region").alias("chosen")).select("chosen"), "jj-chosen")
     kept = members.join(chosen, F.col("region") == F.col("chosen"), "left_semi")
     return stage(kept.select("region", "key", "n", F.lit(0).alias("side")), "jj-regions")
 
 
-def _distances(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(x, y, linked, d): exact distances; a lower bound where the sizes alone rule a link out."""
-    pairs = stage(pairs.groupBy("x", "y").agg(F.first("nx").alias("nx"), F.first("ny").alias("ny"))
-                  .withColumn("near", F.expr(f"100 * least(nx, ny) >= {percent} * greatest(nx, ny)")), "jj-pairs")
-    left = pairs.filter("near").join(sets.select(F.col("key").alias("x"), F.col("shingles").alias("sx")), "x")
-    both = left.join(sets.select(F.col("key").alias("y"), F.col("shingles").alias("sy")), "y")
-    schema = "x long, y long, nx long, ny long, shared long"
-    shared = both.select("x", "y", "nx", "ny", "sx", "sy").mapInArrow(_shared, schema)
-    union = F.col("nx") + F.col("ny") - F.col("shared")
-    exact = shared.select("x", "y", (F.lit(100) * F.col("shared") >= percent * union).alias("linked"), (1 - F.col("shared") / union).alias("d"))
-    return exact.union(pairs.filter("NOT near").select("x", "y", F.lit(False), 1 - F.least("nx", "ny") / F.greatest("nx", "ny")))
+class _Sets:
+    """Whole shingle sets by key, read from the texts when first needed and staged; a round adds what is new."""
+
+    def __init__(self, docs: DataFrame, size: int):
+        self.docs, self.size, self.parts = docs, size, []
 
+    def of(self, keys: DataFrame) -> DataFrame:
+        for part in self.parts:
+            keys = keys.join(part.select("key"), "key", "left_anti")
+        keys = stage(keys, "jj-wanted")
+        if not keys.isEmpty() or not self.parts:
+            found = self.docs.select("text").mapInArrow(_set_tasks(bit_filter(keys, "key"), self.size), "key long, shingles binary")
+            self.parts.append(stage(found.join(keys, "key", "left_semi").dropDuplicates(["key"]), "jj-sets"))
+        out = self.parts[0]
+        for part in self.parts[1:]:
+            out = out.union(part)
+        return out
 
-def _join_regions(regions: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+
+def _paired(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
+    left = pairs.join(table.select(F.col("key").alias("x"), F.col(column).alias("vx")), "x")
+    both = left.join(table.select(F.col("key").alias("y"), F.col(column).alias("vy")), "y")
+    return both.select("x", "y", "nx", "ny", "vx", "vy")
+
+
+def _distances(pairs: DataFrame, firsts: DataFrame, sets: _Sets, percent: int) -> DataFrame:
+    """(x, y, linked, d) per pair: exact where a link is possible, else a lower bound from sizes or first pivots."""
+    pairs = stage(pairs.groupBy("x", "y").agg(F.first("nx").alias("nx"), F.first("ny").alias("ny"))
+                  .withColumn("near", F.expr(f"100 * least(nx, ny) >= {percent} * greatest(nx, ny)")), "jj-pairs")
+    schema, fits = "x long, y long, nx long, ny long, most long", F.expr(f"{100 + percent} * most >= {percent} * (nx + ny)")
+    bounds = stage(_paired(pairs.filter("near"), firsts, "pivots").mapInArrow(_bounds, schema).withColumn("fits", fits), "jj-bounds")
+    likely = bounds.filter("fits")
+    keys = likely.select(F.col("x").alias("key")).union(likely.select("y")).distinct()
+    exact = _paired(likely, sets.of(keys), "shingles").mapInArrow(_shared, schema).withColumn("fits", fits)
+    d = (1 - F.col("most") / (F.col("nx") + F.col("ny") - F.col("most"))).alias("d")
+    return (exact.select("x", "y", F.col("fits").alias("linked"), d)
+            .union(bounds.filter("NOT fits").select("x", "y", F.lit(False), d))
+            .union(pairs.filter("NOT near").select("x", "y", F.lit(False), 1 - F.least("nx", "ny") / F.greatest("nx", "ny"))))
+
+
+def _join_regions(regions: DataFrame, firsts: DataFrame, sets: _Sets, percent: int) -> DataFrame:
     """Links (a, b) that connect exactly what all links connect."""
     spark, eps, links, depth = regions.sparkSession, 1 - percent / 100, None, -1
     while True:
@@ -208,7 +277,7 @@ def _join_regions(regions: DataFrame, sets: DataFrame, percent: int) -> DataFram
         narrow = small.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"),
                               F.when(F.col("x") < F.col("y"), F.col("nx")).otherwise(F.col("ny")).alias("na"),
                               F.when(F.col("x") < F.col("y"), F.col("ny")).otherwise(F.col("nx")).alias("nb")).toDF("x", "y", "nx", "ny")
-        dist = stage(_distances(narrow.union(wide), sets, percent), "jj-dist")
+        dist = stage(_distances(narrow.union(wide), firsts, sets, percent), "jj-dist")
         new = dist.filter("linked").select(F.col("x").alias("a"), F.col("y").alias("b"))
         links = new if links is None else links.union(new)
         if measured.isEmpty():
@@ -249,10 +318,9 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERC
     classes = pivot_classes(docs, size)
     homes = stage(docs.mapInArrow(_home_tasks(classes, size, percent), "doc_id long, n long, key long, pivots array<long>"), "jj-homes")
     regions = _regions(homes.filter("key IS NOT NULL"))
-    wanted = bit_filter(regions.select("key").distinct(), "key")
-    sets = stage(docs.select("text").mapInArrow(_set_tasks(wanted, size), "key long, shingles binary")
-                 .dropDuplicates(["key"]), "jj-sets")
-    roots = connected_components(_join_regions(regions, sets, percent))
+    active = regions.select(F.col("key").alias("k")).distinct()
+    firsts = stage(homes.select("key", "pivots").join(active, F.col("key") == F.col("k"), "left_semi").dropDuplicates(["key"]), "jj-firsts")
+    roots = connected_components(_join_regions(regions, firsts, _Sets(docs, size), percent))
     rows = homes.select("doc_id", F.col("n").alias("n_shingles"), "key")
     rooted = stage(rows.join(roots, F.col("key") == F.col("node"), "left")
                    .select("doc_id", "n_shingles", F.coalesce("root", "key").alias("root")), "jj-rooted")
