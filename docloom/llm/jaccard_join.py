@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.llm.graphs import bit_filter, connected_components, may_contain
@@ -104,13 +104,13 @@ def _home_tasks(classes: np.ndarray, size: int, percent: int):
         for batch in batches:
             n, keys, firsts = [], [], []
 
-            def flush(ids: pa.Array) -> pa.RecordBatch:
+            def flush(a: int, b: int) -> pa.RecordBatch:
                 lengths = np.concatenate([[0], np.cumsum([len(x) for x in firsts])]).astype(np.int32)
                 values = np.concatenate(firsts) if firsts else np.zeros(0, dtype=np.int64)
                 return pa.RecordBatch.from_arrays(
-                    [ids, pa.array(n, pa.int64()), pa.array(keys, pa.int64()),
+                    [batch.column(0)[a:b], batch.column(2)[a:b], pa.array(n, pa.int64()), pa.array(keys, pa.int64()),
                      pa.ListArray.from_arrays(pa.array(lengths), pa.array(values, pa.int64()))],
-                    ["doc_id", "n", "key", "pivots"])
+                    ["doc_id", "text_key", "n", "key", "pivots"])
 
             done = 0
             for row, found in shingle_sets(batch.column(1), size):
@@ -121,10 +121,10 @@ def _home_tasks(classes: np.ndarray, size: int, percent: int):
                 order = (mix(found) >> np.uint64(6)) | common << np.uint64(58)
                 firsts.append(np.sort(np.partition(order, take - 1)[:take]).view(np.int64) if take else np.zeros(0, np.int64))
                 if len(n) == ROWS_OUT:
-                    yield flush(batch.column(0)[done:row + 1])
+                    yield flush(done, row + 1)
                     done, n, keys, firsts = row + 1, [], [], []
             if n:
-                yield flush(batch.column(0)[done:])
+                yield flush(done, batch.num_rows)
 
     return home
 
@@ -305,6 +305,24 @@ def _next_regions(big: DataFrame, pivots: DataFrame, seen: DataFrame, eps: float
     return cells.union(rest).union(ball).union(ring)
 
 
+def _rooted(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """(doc_id, text_key, n_shingles, root) per row; root is NULL for texts without words."""
+    docs = docs.select("doc_id", "text", _text_key().alias("text_key"))
+    classes = pivot_classes(docs, size)
+    homes = stage(docs.mapInArrow(_home_tasks(classes, size, percent), "doc_id long, text_key long, n long, key long, pivots array<long>"), "jj-homes")
+    regions = _regions(homes.filter("key IS NOT NULL"))
+    active = regions.select(F.col("key").alias("k")).distinct()
+    firsts = stage(homes.select("key", "pivots").join(active, F.col("key") == F.col("k"), "left_semi").dropDuplicates(["key"]), "jj-firsts")
+    roots = connected_components(_join_regions(regions, firsts, _Sets(docs, size), percent))
+    rows = homes.select("doc_id", "text_key", F.col("n").alias("n_shingles"), "key")
+    return stage(rows.join(roots, F.col("key") == F.col("node"), "left")
+                 .select("doc_id", "text_key", "n_shingles", F.coalesce("root", "key").alias("root")), "jj-rooted")
+
+
+def _text_key() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
 def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): n_shingles and component_id, the least doc_id its links reach.
 
@@ -314,21 +332,32 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERC
     allowed and never becomes the least unless nothing else is in the component. Further columns of ``docs``
     are ignored whatever their names. An empty table gives an empty one.
     """
-    docs = docs.select("doc_id", "text")
-    classes = pivot_classes(docs, size)
-    homes = stage(docs.mapInArrow(_home_tasks(classes, size, percent), "doc_id long, n long, key long, pivots array<long>"), "jj-homes")
-    regions = _regions(homes.filter("key IS NOT NULL"))
-    active = regions.select(F.col("key").alias("k")).distinct()
-    firsts = stage(homes.select("key", "pivots").join(active, F.col("key") == F.col("k"), "left_semi").dropDuplicates(["key"]), "jj-firsts")
-    roots = connected_components(_join_regions(regions, firsts, _Sets(docs, size), percent))
-    rows = homes.select("doc_id", F.col("n").alias("n_shingles"), "key")
-    rooted = stage(rows.join(roots, F.col("key") == F.col("node"), "left")
-                   .select("doc_id", "n_shingles", F.coalesce("root", "key").alias("root")), "jj-rooted")
+    rooted = _rooted(docs, size, percent)
     least = stage(rooted.groupBy(F.col("root").alias("r")).agg(F.min("doc_id").alias("least")).filter("r IS NOT NULL"), "jj-least")
     return rooted.join(least, F.col("root") == F.col("r"), "left").select(
         "doc_id", "n_shingles", F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
 
 
+def keep_one(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one row of every component: the least doc_id (NULL last), then the least text hash.
+
+    Texts without words stay, all of them. All columns are kept. Of rows that agree in doc_id and text one stays.
+    """
+    rooted = _rooted(docs, size, percent)
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key")
+    best = rooted.filter("root IS NOT NULL").groupBy("root").agg(F.min(order).alias("b")).select(F.col("b.doc_id").alias("_d"), F.col("b.text_key").alias("_k"))
+    copies = rooted.filter("root IS NOT NULL").groupBy("doc_id", "text_key").count()
+    same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_key") == F.col("_k"))
+    chosen = stage(copies.join(best.distinct(), same, "inner").select("_d", "_k", "count"), "jj-kept")
+    wordless = rooted.filter("root IS NULL").select("doc_id", "text_key", F.lit(1).alias("count")).distinct()
+    chosen = chosen.union(wordless)
+    names = docs.columns
+    match = docs["doc_id"].eqNullSafe(F.col("_d")) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == F.col("_k"))
+    single = docs.join(chosen.filter("count = 1"), match, "left_semi").select(*names)
+    several = docs.join(chosen.filter("count > 1"), match, "left_semi").select(*names).dropDuplicates(["doc_id", "text"])
+    return single.union(several)
+
+
 ORACLE_SQL = r"""
 WITH RECURSIVE d AS (SELECT doc_id, list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
        'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),

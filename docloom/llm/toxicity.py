@@ -26,7 +26,7 @@ from docloom.llm.wordhash import _LOWER, mix, span_hashes, text_blocks, word_bou
 WINDOW, STRIDE = 32, 24
 DIM, HIDDEN, WORDS, GRAMS = 16, 8, 8192, 4096
 PER_CLASS, TRAIN_CHARS, MIN_DOCS = 800, 10_000, 4
-EPOCH_WINDOWS = 10_000
+EPOCH_WINDOWS, STEPS = 10_000, 40  # windows of a class at most, gradient steps at least, per round
 THRESHOLD, BATCH_WINDOWS = 0.7, 2048
 SEED = 11
 
@@ -117,8 +117,9 @@ def train(texts: list[str], labels: np.ndarray, seed: int = SEED, rounds: tuple[
     ids = lookup[ids]
     adam = gru.Adam(net, 0.01)
 
-    def epoch(chosen: np.ndarray, size: int = 256, hidden_words: float = 0.3) -> None:
-        rng.shuffle(chosen)
+    def epoch(chosen: np.ndarray, hidden_words: float = 0.3) -> None:
+        size = int(np.clip(len(chosen) // STEPS, 32, 256))
+        chosen = np.concatenate([rng.permutation(chosen) for _ in range(max(1, -(-STEPS * size // len(chosen))))])
         for a in range(0, len(chosen), size):
             part = ids[:, chosen[a:a + size]]
             used, local = np.unique(part, return_inverse=True)
@@ -156,8 +157,9 @@ def train(texts: list[str], labels: np.ndarray, seed: int = SEED, rounds: tuple[
     z = all_logits()
     heads = np.flatnonzero(np.diff(owner, prepend=-1))
     best, label = np.maximum.reduceat(z, heads), labels[owner[heads]]
-    if len(set(label[~learnt[owner[heads]]].tolist())) == 2:
-        best, label = best[~learnt[owner[heads]]], label[~learnt[owner[heads]]]
+    unseen = ~learnt[owner[heads]]
+    if label[unseen].sum() >= 20 and (label[unseen] == 0).sum() >= 20:
+        best, label = best[unseen], label[unseen]
     cuts = np.sort(best)
     cuts = (cuts[:-1] + cuts[1:]) / 2 if len(cuts) > 1 else cuts
     hits = np.array([(label[best >= c] > 0).sum() for c in cuts])
@@ -190,18 +192,18 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict | None:
     return train(rows["text"].to_pylist(), rows["toxic"].to_numpy())
 
 
-def score_documents(docs: DataFrame, model: dict | None) -> DataFrame:
-    """``docs`` with a column ``toxicity`` (double in 0..1) for every row, in place and without a shuffle.
+def score_documents(docs: DataFrame, model: dict | None, text: str = "text", score: str = "toxicity") -> DataFrame:
+    """``docs`` with a column ``score`` (double in 0..1) for every row, in place and without a shuffle.
 
-    NULL, empty and wordless texts score 0.0, as does everything when there is no model. Other columns,
-    repeats and order within tasks are kept; a column already called ``toxicity`` is replaced.
+    NULL, empty and wordless texts score 0.0, as does everything when there is no model. Other columns and
+    repeats are kept; a column that already has the name is replaced.
     """
-    def score(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def score_batches(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for part in texts:
             values = np.zeros(len(part)) if model is None else to_score(score_texts(part, model), model["cut"])
             yield pa.array(values, pa.float64())
 
-    return docs.withColumn("toxicity", F.arrow_udf(score, "double")(F.col("text")))
+    return docs.withColumn(score, F.arrow_udf(score_batches, "double")(F.col(text)))
 
 
 @query()
