@@ -264,12 +264,15 @@ def _join_regions(regions: DataFrame, firsts: DataFrame, sets: _Sets, percent: i
             "(side = 0 AND side2 = 0 AND key < y) OR (side = 1 AND side2 = 2)")).select(
             F.col("key").alias("x"), "y", F.col("n").alias("nx"), "ny")
         # Pivots: the least hash of each of a few slots, of the side that shrinks; min() is combined before the shuffle.
-        big = sized.filter("NOT leaf").select("region", "key", "n", "side")
+        # A ring that fits is measured whole; else ball members are pivots, and a ring member needs one link to be done.
+        by = F.when(F.col("n0") > 0, 0).when(F.col("n2") <= some, 2).otherwise(1)
+        big = stage(sized.filter("NOT leaf").select("region", "key", "n", "side", by.alias("by")), "jj-big")
         mixed = F.xxhash64("region", "key", F.lit(depth))
-        pivots = stage(big.filter("side <> 1").groupBy(F.col("region").alias("pr"), F.pmod(mixed, F.lit(some)).alias("slot"))
+        slot = F.when(F.col("by") == 2, F.pmod(mixed, F.lit(16 * some))).otherwise(F.pmod(mixed, F.lit(some)))
+        pivots = stage(big.filter("side = by").groupBy(F.col("region").alias("pr"), slot.alias("slot"))
                        .agg(F.min(F.struct(mixed.alias("h"), "key", "n")).alias("p"))
                        .select("pr", F.col("p.key").alias("pivot"), F.col("p.n").alias("pn")), "jj-pivots")
-        against = big.filter("side <> 2").join(pivots, (F.col("region") == F.col("pr")) & (F.col("key") != F.col("pivot")))
+        against = big.filter("side <> by OR by = 0").join(pivots, (F.col("region") == F.col("pr")) & (F.col("key") != F.col("pivot")))
         measured = stage(against.select("region", "key", "n", "side", "pivot", "pn"), "jj-measured")
         wide = measured.select(F.least("key", "pivot").alias("x"), F.greatest("key", "pivot").alias("y"),
                                F.when(F.col("key") < F.col("pivot"), F.col("n")).otherwise(F.col("pn")).alias("nx"),
@@ -290,6 +293,19 @@ def _join_regions(regions: DataFrame, firsts: DataFrame, sets: _Sets, percent: i
 def _next_regions(big: DataFrame, pivots: DataFrame, seen: DataFrame, eps: float) -> DataFrame:
     tick = 1e-9  # distances are rounded floats; the window is widened, never narrowed
     whole = seen.filter("side = 0")
+    # Pivots that share a linked member with the busiest pivot of the region are one component with it, and so are
+    # all members linked to them; between such a pivot and such a member no pair is open.
+    linked = whole.filter("linked").select("region", "key", "pivot")
+    busiest = stage(linked.groupBy("region", "pivot").count().groupBy(F.col("region").alias("r"))
+                    .agg(F.max(F.struct("count", "pivot")).alias("b")).select("r", F.col("b.pivot").alias("hub")), "jj-hubs")
+    around = linked.join(busiest, (F.col("region") == F.col("r")) & (F.col("pivot") == F.col("hub")), "left_semi").select(F.col("region").alias("r"), F.col("key").alias("k"))
+    touching = linked.join(stage(around, "jj-around"), (F.col("region") == F.col("r")) & (F.col("key") == F.col("k")), "left_semi").select("region", "pivot")
+    joined = stage(touching.union(busiest.select("r", "hub")).distinct().toDF("jr", "jp"), "jj-joined")
+    of_hub = linked.join(joined, (F.col("region") == F.col("jr")) & (F.col("pivot") == F.col("jp")), "left_semi").select("region", "key")
+    covered = stage(of_hub.union(joined.select("jr", "jp")).distinct().toDF("cr", "ck"), "jj-covered")
+    flagged = whole.join(joined, (F.col("region") == F.col("jr")) & (F.col("pivot") == F.col("jp")), "left") \
+        .join(covered, (F.col("region") == F.col("cr")) & (F.col("key") == F.col("ck")), "left")
+    whole = stage(flagged.filter("linked OR jp IS NULL OR ck IS NULL").select("region", "key", "n", "pivot", "linked", "d"), "jj-open-cells")
     ring_edge = stage(whole.filter(f"NOT linked AND d <= {2 * eps + tick}").groupBy(F.col("region").alias("r"), F.col("pivot").alias("p"))
                       .agg(F.min("d").alias("edge")), "jj-edge")
     cells = whole.join(ring_edge, (F.col("region") == F.col("r")) & (F.col("pivot") == F.col("p")))
@@ -298,11 +314,12 @@ def _next_regions(big: DataFrame, pivots: DataFrame, seen: DataFrame, eps: float
     near = stage(whole.filter("linked").select(F.col("region").alias("r"), F.col("key").alias("k")).union(pivots.select("pr", "pivot")).distinct(), "jj-near")
     rest = big.filter("side = 0").join(near, (F.col("region") == F.col("r")) & (F.col("key") == F.col("k")), "left_anti").select(
         F.xxhash64("region", F.lit(2)).alias("region"), "key", "n", F.lit(0).alias("side"))
-    # Ball-and-ring regions: the pivots were ring members and have met the whole ball, so they are done.
-    ring = big.filter("side = 2").join(pivots, (F.col("region") == F.col("pr")) & (F.col("key") == F.col("pivot")), "left_anti")
-    open_ring = stage(ring.select(F.col("region").alias("r")).distinct(), "jj-open")
-    ball = big.filter("side = 1").join(open_ring, F.col("region") == F.col("r"), "left_semi")
-    return cells.union(rest).union(ball).union(ring)
+    # Ball-and-ring regions: pivots have met the whole other side, and linked ring members belong to the ball's component.
+    done = pivots.select("pr", "pivot").union(seen.filter("side = 2 AND linked").select("region", "key")).distinct()
+    open_ones = stage(big.filter("side <> 0").join(done, (F.col("region") == F.col("pr")) & (F.col("key") == F.col("pivot")), "left_anti"), "jj-open")
+    both = open_ones.groupBy(F.col("region").alias("r")).agg(F.count_distinct("side").alias("sides")).filter("sides = 2")
+    rings = open_ones.join(both, F.col("region") == F.col("r"), "left_semi").select("region", "key", "n", "side")
+    return cells.union(rest).union(rings)
 
 
 def _rooted(docs: DataFrame, size: int, percent: int) -> DataFrame:
