@@ -1,4 +1,4 @@
 """Importing this module registers every query of the package."""
 
-from docloom.llm import decontaminate, jaccard_join, packing, quality_cascade, secret_scan, toxicity, url_filter  # noqa: F401
+from docloom.llm import decontaminate, html_wrapper, jaccard_join, packing, quality_cascade, secret_scan, toxicity, url_filter  # noqa: F401
 from docloom.llm.registry import ORACLE, QUERIES  # noqa: F401
