@@ -98,9 +98,14 @@ def chunk_outcome(documents: DataFrame) -> DataFrame:
 
 
 def embed_from_vectors(chunks: DataFrame, vectors: DataFrame, on: str) -> DataFrame:
-    """Embedding by look-up of precomputed vectors; empty text or no vector gives FAILED and ``[]``."""
+    """Embedding by look-up of precomputed vectors; empty text or no vector gives FAILED and ``[]``.
+
+    Chunks without a key take no part in the join, so that they never meet in one task.
+    """
     usable = F.coalesce(F.length("chunk_text") > 0, F.lit(False))
-    joined = chunks.join(vectors.select(on, F.col("embedding").alias("_vector")), on, "left")
+    found = chunks.filter(F.col(on).isNotNull()).join(vectors.select(on, F.col("embedding").alias("_vector")), on, "left")
+    none = chunks.filter(F.col(on).isNull()).withColumn("_vector", F.lit(None).cast(vectors.schema["embedding"].dataType))
+    joined = found.unionByName(none)
     ok = usable & F.col("_vector").isNotNull()
     return joined.select(
         "chunk_id",

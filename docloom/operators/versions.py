@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docloom.operators.positions import running_total
@@ -10,24 +10,15 @@ from docloom.staging import stage
 
 NUMBER, MAJOR, MINOR = "document_number", "document_major_version", "document_minor_version"
 
-# A document number with more rows than this is ranked across tasks, not inside one.
-WINDOW_ROWS = 1_000_000
-
-
 def _newest_first() -> list[Column]:
     return [F.col(MAJOR).desc_nulls_last(), F.col(MINOR).desc_nulls_last()]
 
 
-def version_rank(df: DataFrame, out: str = "version_rank", window_rows: int = WINDOW_ROWS) -> DataFrame:
-    """Add the rank of each row among the versions of its number: 1 is newest, ties share a rank, NULLs last."""
-    largest = df.groupBy(NUMBER).count().agg(F.max("count")).first()[0]
-    if (largest or 0) <= window_rows:
-        window = Window.partitionBy(NUMBER).orderBy(*_newest_first())
-        return df.withColumn(out, F.rank().over(window))
-    return _rank_across_tasks(df, out)
+def version_rank(df: DataFrame, out: str = "version_rank") -> DataFrame:
+    """Add the rank of each row among the versions of its number: 1 is newest, ties share a rank, NULLs last.
 
-
-def _rank_across_tasks(df: DataFrame, out: str) -> DataFrame:
+    Ranks follow from running totals over range partitions, so one number may have any share of the rows.
+    """
     # Copies of a version collapse to one counted row; its rank is one more than the rows before it.
     versions = df.groupBy(NUMBER, MAJOR, MINOR).agg(F.count(F.lit(1)).alias("_rows"))
     order = [F.col(NUMBER).asc_nulls_first(), *_newest_first()]

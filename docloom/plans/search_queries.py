@@ -26,11 +26,12 @@ def _top(name: str, source: str, k: int, where: str = "true") -> str:
 
 def _bm25(questions: str) -> str:
     """Scores of every question and chunk that share a term."""
-    return rf"""words AS MATERIALIZED (SELECT chunk_id,
-      unnest(regexp_extract_all(lower(chunk_text), '[\p{{L}}\p{{N}}]+')) AS term FROM fx_chunks),
+    return rf"""live AS (SELECT c.* FROM fx_chunks c JOIN embeddings USING (vec_id) WHERE embedding_status = 'COMPLETED'),
+    words AS MATERIALIZED (SELECT chunk_id,
+      unnest(regexp_extract_all(lower(chunk_text), '[\p{{L}}\p{{N}}]+')) AS term FROM live),
     lengths AS (SELECT chunk_id, count(*) AS dl FROM words GROUP BY chunk_id),
-    corpus AS (SELECT (SELECT count(*) FROM fx_chunks) AS n,
-      (SELECT count(*) FROM words) / (SELECT count(*) FROM fx_chunks)::DOUBLE AS avg_dl),
+    corpus AS (SELECT (SELECT count(*) FROM live) AS n,
+      (SELECT count(*) FROM words) / (SELECT count(*) FROM live)::DOUBLE AS avg_dl),
     tf AS (SELECT chunk_id, term, count(*) AS tf FROM words GROUP BY chunk_id, term),
     df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
     asked AS (SELECT DISTINCT question_id, term FROM (SELECT question_id,
@@ -59,6 +60,11 @@ def _chunks(spark, sf_dir):
     return search.searchable(fx.chunks_with_vectors(spark, sf_dir))
 
 
+def _index(spark, sf_dir, *columns):
+    """The text index holds what the search table holds: chunks without a vector are in neither."""
+    return stage(search.text_index(_chunks(spark, sf_dir), *columns), "text-index")
+
+
 def _described(spark, sf_dir):
     meta = fx.metadata(spark, sf_dir).select(
         "metadata_id", "document_number", "document_title", "document_id", "document_major_version",
@@ -103,8 +109,7 @@ def knn_lsh(spark, sf_dir):
            {_top('top', 'lexical', 8)} SELECT question_id, chunk_id, score, rank FROM top""", "fx_chunks")
 def bm25_topk(spark, sf_dir):
     items = fx.table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("question_id"), "text")
-    index = stage(search.text_index(fx.chunks(spark, sf_dir)), "text-index")
-    return search.bm25_topk(items, index)
+    return search.bm25_topk(items, _index(spark, sf_dir))
 
 
 @query(f"""WITH {_SCORED}, {_bm25('fx_questions')}, {_top('by_vector', 'scored', 40)},
@@ -114,8 +119,24 @@ def bm25_topk(spark, sf_dir):
            {_top('top', 'fused', 8)} SELECT question_id, chunk_id, score, rank FROM top""",
        "fx_chunks", "fx_questions")
 def hybrid_rrf(spark, sf_dir):
-    index = stage(search.text_index(fx.chunks(spark, sf_dir)), "text-index")
-    return search.hybrid_topk(fx.questions(spark, sf_dir), _chunks(spark, sf_dir), index)
+    return search.hybrid_topk(fx.questions(spark, sf_dir), _chunks(spark, sf_dir), _index(spark, sf_dir))
+
+
+_LAST = "last AS (SELECT conv_id AS question_id, arg_max(role, turn) AS role FROM conversations GROUP BY conv_id)"
+_ALLOWED = """CASE role WHEN 'user' THEN lang IN ('en', 'fr') WHEN 'assistant' THEN lang IN ('de', 'es') ELSE lang IN ('en') END"""
+_FILTERED = f"""{_SCORED}, {_bm25('fx_questions')}, {_LAST},
+    near AS (SELECT s.* FROM scored s JOIN last USING (question_id) WHERE {_ALLOWED}),
+    worded AS (SELECT l.* FROM lexical l JOIN fx_chunks USING (chunk_id) JOIN last USING (question_id) WHERE {_ALLOWED}),
+    {_top('by_vector', 'near', 40)}, {_top('by_text', 'worded', 40)}, fused AS (SELECT question_id, chunk_id,
+      round(sum(1.0::DOUBLE / (60 + rank)), 6) AS score FROM (SELECT question_id, chunk_id, rank FROM by_vector
+      UNION ALL SELECT question_id, chunk_id, rank FROM by_text) GROUP BY question_id, chunk_id), {_top('top', 'fused', 8)}"""
+
+
+@query(f"WITH {_FILTERED} SELECT question_id, chunk_id, score, rank FROM top", "fx_chunks", "fx_questions")
+def hybrid_filtered(spark, sf_dir):
+    """Hybrid search in which each request's filter, or the default one, holds for both lists."""
+    asked = search.with_default_filter(fx.questions(spark, sf_dir), _requested(spark, sf_dir), "lang", ["en"])
+    return search.hybrid_topk(asked, _chunks(spark, sf_dir), _index(spark, sf_dir, "lang"), filters=["lang"])
 
 
 @query(f"""WITH {_SCORED}, {_top('top', 'scored', 8)}, {_DESCRIBED}, {_CONTEXT}
@@ -153,12 +174,12 @@ def chat_history(spark, sf_dir):
     return chat.chat_history(_messages(spark, sf_dir))
 
 
-_HISTORY = """history AS (SELECT conv_id, CAST(0 AS BIGINT) AS part, concat(chr(10), coalesce(string_agg(
+_HISTORY = """history AS (SELECT conv_id, concat(chr(10), coalesce(string_agg(
     CASE WHEN turn < last THEN concat(role, ': ', text, chr(10)) END, '' ORDER BY turn), '')) AS history
   FROM (SELECT *, max(turn) OVER (PARTITION BY conv_id) AS last FROM conversations) GROUP BY conv_id)"""
 
 
-@query(f"WITH {_HISTORY} SELECT conv_id, part, history FROM history")
+@query(f"WITH {_HISTORY} SELECT conv_id, history FROM history")
 def chat_history_text(spark, sf_dir):
     return chat.chat_history_text(_messages(spark, sf_dir))
 
@@ -215,6 +236,20 @@ def prompt_messages(spark, sf_dir):
         rewrite.select(F.lit("rewrite").alias("prompt"), "*"))
 
 
+@query(f"""WITH {_FILTERED}, {_DESCRIBED}, {_CONTEXT}, {_HISTORY}
+           SELECT h.conv_id, CAST(0 AS BIGINT) AS seq, 'system' AS role,
+             {_filled(chat.SYSTEM_TEMPLATE, "coalesce(context.context, '{\"chunks\":[]}')")} AS content
+           FROM history h LEFT JOIN context ON context.question_id = h.conv_id
+           UNION ALL SELECT conv_id, 1, 'user', arg_max(text, turn) FROM conversations GROUP BY conv_id""",
+       "fx_chunks", "fx_questions", "fx_meta")
+def answer_prompts(spark, sf_dir):
+    """The chain as one plan: filtered hybrid search, context of the hits, history, filled prompt."""
+    messages = _messages(spark, sf_dir)
+    context = chat.context_json(hybrid_filtered(spark, sf_dir), _described(spark, sf_dir))
+    return chat.prompt_messages(chat.chat_history_text(messages), chat.chat_question(messages), chat.SYSTEM_TEMPLATE,
+                                context.withColumnRenamed("question_id", "conv_id"))
+
+
 @query(f"""SELECT conv_id, CAST(0 AS BIGINT) AS seq,
              CAST(to_json({{'role': 'system', 'content': {_sql_text(chat.TITLE_INSTRUCTION)}}}) AS VARCHAR) AS message
            FROM (SELECT DISTINCT conv_id FROM conversations)

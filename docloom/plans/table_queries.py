@@ -99,19 +99,20 @@ def _from_row(frame):
         yield row.content_type, row.html.encode("utf-8")
 
 
-@query("""SELECT page_id AS metadata_id, CASE WHEN contains(url, '#') THEN 'FAILED' ELSE 'COMPLETED' END AS status
-          FROM pages""")
+@query("""SELECT page_id AS metadata_id, CASE WHEN contains(url, '#') THEN 'FAILED' ELSE 'COMPLETED' END AS status,
+          CASE WHEN contains(url, '#') THEN 'content type text/html' END AS error FROM pages""")
 def land_files(spark, sf_dir):
-    landed = writers.land_files(_pages_to_land(spark, sf_dir, scratch_path(spark, "landing")), _from_row, partitions=8)
+    landed = writers.land_files(_pages_to_land(spark, sf_dir, scratch_path(spark, "landing")), _from_row)
     return stage(landed, "download-status")
 
 
-@query("SELECT page_id, CAST(strlen(html) AS BIGINT) AS length FROM pages WHERE NOT contains(url, '#')")
+@query("SELECT page_id, CAST(strlen(html) AS BIGINT) AS length, sha256(html) AS digest FROM pages WHERE NOT contains(url, '#')")
 def src_binary(spark, sf_dir):
     root = scratch_path(spark, "landing")
-    stage(writers.land_files(_pages_to_land(spark, sf_dir, root), _from_row, partitions=8), "download-status")
+    stage(writers.land_files(_pages_to_land(spark, sf_dir, root), _from_row), "download-status")
     found = readers.read_binary(spark, root, "*.html")
-    return found.select(F.regexp_extract("path", r"(\d+)\.html$", 1).cast("bigint").alias("page_id"), "length")
+    return found.select(F.regexp_extract("path", r"(\d+)\.html$", 1).cast("bigint").alias("page_id"), "length",
+                        F.sha2("content", 256).alias("digest"))
 
 
 # --- sinks and table definitions -----------------------------------------------------------
@@ -141,8 +142,7 @@ def sink_stage_once(spark, sf_dir):
        "fx_meta")
 def watermark_next(spark, sf_dir):
     path = scratch_path(spark, "watermark")
-    dated = fx.metadata(spark, sf_dir).filter(F.col("version_modified_date") != "unknown")
-    writers.write_watermark(writers.next_watermark(dated), path)
+    writers.write_watermark(writers.next_watermark(fx.metadata(spark, sf_dir)), path)
     return writers.read_watermark(spark, path)
 
 

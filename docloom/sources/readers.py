@@ -78,7 +78,7 @@ def read_export_csv(
 
 def uri_parts(uri: Column) -> dict[str, Column]:
     """Bucket and key of an object URI, with or without its ``s3``, ``s3a`` or ``s3n`` scheme."""
-    bare = F.regexp_replace(uri, r"s3[an]?://", "")
+    bare = F.regexp_replace(uri, r"^s3[an]?://", "")
     return {
         "bucket": F.regexp_extract(bare, r"^([^/]*)/?(.*)$", 1),
         "object_key": F.regexp_extract(bare, r"^([^/]*)/?(.*)$", 2),

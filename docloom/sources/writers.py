@@ -9,7 +9,8 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.schemas import BUCKETED, COMPLETED, DEFAULTS, FAILED, TABLES
+from docloom.functions.metadata import iso_timestamp
+from docloom.schemas import BUCKETED, COMPLETED, DEFAULTS, FAILED, ISO_PATTERN, TABLES
 
 ACCEPTED_CONTENT = "application/octet-stream"
 
@@ -27,8 +28,11 @@ def stage_table(df: DataFrame, table: str, path: str) -> DataFrame:
     return df.sparkSession.table(table)
 
 
-def next_watermark(df: DataFrame, column: str = "version_modified_date", out: str = "incremental_date") -> DataFrame:
-    return df.agg(F.max(column).alias(out))
+def next_watermark(
+    df: DataFrame, column: str = "version_modified_date", out: str = "incremental_date", pattern: str = ISO_PATTERN
+) -> DataFrame:
+    """The text of the latest time in ``column``; text that is no time does not count. NULL when there is none."""
+    return df.agg(F.max_by(column, iso_timestamp(F.col(column), pattern)).alias(out))
 
 
 def write_watermark(watermark: DataFrame, path: str) -> None:
@@ -69,11 +73,13 @@ def land_files(
     partitions: int | None = None,
     accepted: str = ACCEPTED_CONTENT,
 ) -> DataFrame:
-    """Fetch and store one object per row in parallel: (metadata_id, status).
+    """Fetch and store one object per row in parallel: (metadata_id, status, error).
 
-    ``fetcher`` yields (content type, bytes) for each row of a batch, in order. An unexpected
-    content type or any error gives FAILED for that row. Writing replaces the whole object, so a
-    retried task ends in the same state. The result is lazy: stage it, since every read lands anew.
+    ``fetcher`` yields (content type, bytes) for each row of a batch, in order; it is called once per
+    batch, and row by row from where a batch breaks off, so one bad row cannot fail its neighbours.
+    An unexpected content type or any error gives FAILED for that row and says why in ``error``.
+    Writing replaces the whole object, so a retried task ends in the same state. The result is lazy:
+    stage it, since every read lands anew.
     """
 
     def store(uri: str, body: bytes) -> None:
@@ -87,19 +93,27 @@ def land_files(
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            statuses = []
+            errors: list[str | None] = []
+            answers, single = None, False
             for i in range(len(frame)):
-                row = frame.iloc[i:i + 1]
                 try:
-                    kind, body = next(iter(fetcher(row)))
+                    if not single:
+                        try:
+                            answers = iter(fetcher(frame)) if answers is None else answers
+                            kind, body = next(answers)
+                        except Exception:
+                            single = True
+                    if single:
+                        kind, body = next(iter(fetcher(frame.iloc[i:i + 1])))
                     if accepted in kind:
-                        store(row[path_column].iloc[0], body)
-                        statuses.append(COMPLETED)
-                    else:
-                        statuses.append(FAILED)
-                except Exception:
-                    statuses.append(FAILED)
-            yield pd.DataFrame({"metadata_id": frame["metadata_id"], "status": statuses})
+                        store(frame[path_column].iloc[i], body)
+                    errors.append(None if accepted in kind else f"content type {kind}")
+                except Exception as error:
+                    errors.append(f"{type(error).__name__}: {error}")
+            yield pd.DataFrame({
+                "metadata_id": frame["metadata_id"], "status": [COMPLETED if e is None else FAILED for e in errors],
+                "error": pd.Series(errors, dtype=object),
+            })
 
     spread = df.repartition(partitions) if partitions else df
-    return spread.mapInPandas(run, "metadata_id bigint, status string")
+    return spread.mapInPandas(run, "metadata_id bigint, status string, error string")

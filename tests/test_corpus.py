@@ -112,5 +112,5 @@ def test_landing_and_reading_back(spark, tmp_path):
             yield row.kind, b"x" * row.metadata_id
 
     landed = stage(writers.land_files(df, fetch, partitions=2), "landed")
-    assert rows(landed) == [(1, "COMPLETED"), (2, "FAILED"), (3, "FAILED"), (4, "COMPLETED")]
+    assert rows(landed) == [(1, "COMPLETED", None), (2, "FAILED", "content type text/html"), (3, "FAILED", "OSError: no such object"), (4, "COMPLETED", None)]
     assert rows(readers.read_binary(spark, str(tmp_path), "*.bin"), "length") == [(1,), (4,)]

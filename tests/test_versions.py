@@ -25,7 +25,6 @@ def test_ties_and_missing_versions(spark):
     df = spark.createDataFrame(EDGE, SCHEMA)
     want = expected(EDGE)
     assert rows(versions.version_rank(df), "metadata_id", "version_rank") == want
-    assert rows(versions.version_rank(df, window_rows=0), "metadata_id", "version_rank") == want
     assert rows(versions.superseded(df)) == [(i,) for i, r in want if r > 1]
 
 
@@ -43,7 +42,7 @@ def test_flag_is_set_both_ways(spark):
 def test_rank_of_a_number_spread_over_many_partitions(spark):
     data = [(i, "HOT" if i % 3 else f"D{i}", i // 7, i % 5) for i in range(600)]
     df = spark.createDataFrame(data, SCHEMA)
-    assert rows(versions.version_rank(df, window_rows=10), "metadata_id", "version_rank") == expected(data)
+    assert rows(versions.version_rank(df), "metadata_id", "version_rank") == expected(data)
 
 
 @settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
