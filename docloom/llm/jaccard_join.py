@@ -39,7 +39,7 @@ SHINGLE, PERCENT = 5, 75
 SKETCH_CELLS, SKETCH_ROWS, SKETCH_CHUNK, SKETCH_FAN = 1 << 21, 2, 1 << 17, 512
 REGION_BITS = 1 << 25
 # By depth of the recursion: deep regions are few, so they may compare more pairs and take more pivots at once.
-LEAF_PAIRS, PIVOTS = (10, 160, 2560), (4, 16, 64)
+LEAF_PAIRS, PIVOTS = (10, 160, 10_000), (4, 16, 64)
 ROWS_OUT = 2000
 
 
@@ -267,7 +267,8 @@ def _join_regions(regions: DataFrame, firsts: DataFrame, sets: _Sets, percent: i
         # A ring that fits is measured whole; else ball members are pivots, and a ring member needs one link to be done.
         by = F.when(F.col("n0") > 0, 0).when(F.col("n2") <= some, 2).otherwise(1)
         big = stage(sized.filter("NOT leaf").select("region", "key", "n", "side", by.alias("by")), "jj-big")
-        mixed = F.xxhash64("region", "key", F.lit(depth))
+        # The hash is of the set alone, so regions with much the same members pick the same pivots.
+        mixed = F.xxhash64("key", F.lit(depth))
         slot = F.when(F.col("by") == 2, F.pmod(mixed, F.lit(16 * some))).otherwise(F.pmod(mixed, F.lit(some)))
         pivots = stage(big.filter("side = by").groupBy(F.col("region").alias("pr"), slot.alias("slot"))
                        .agg(F.min(F.struct(mixed.alias("h"), "key", "n")).alias("p"))
@@ -287,10 +288,10 @@ def _join_regions(regions: DataFrame, firsts: DataFrame, sets: _Sets, percent: i
             return links
         seen = measured.join(dist, (F.least("key", "pivot") == F.col("x")) & (F.greatest("key", "pivot") == F.col("y"))) \
             .select("region", "key", "n", "side", "pivot", "linked", "d")
-        regions = stage(_next_regions(big, pivots, stage(seen, "jj-seen"), eps), "jj-next")
+        regions = stage(_next_regions(big, pivots, stage(seen, "jj-seen"), eps, depth), "jj-next")
 
 
-def _next_regions(big: DataFrame, pivots: DataFrame, seen: DataFrame, eps: float) -> DataFrame:
+def _next_regions(big: DataFrame, pivots: DataFrame, seen: DataFrame, eps: float, depth: int) -> DataFrame:
     tick = 1e-9  # distances are rounded floats; the window is widened, never narrowed
     whole = seen.filter("side = 0")
     # Pivots that share a linked member with the busiest pivot of the region are one component with it, and so are
@@ -305,12 +306,14 @@ def _next_regions(big: DataFrame, pivots: DataFrame, seen: DataFrame, eps: float
     covered = stage(of_hub.union(joined.select("jr", "jp")).distinct().toDF("cr", "ck"), "jj-covered")
     flagged = whole.join(joined, (F.col("region") == F.col("jr")) & (F.col("pivot") == F.col("jp")), "left") \
         .join(covered, (F.col("region") == F.col("cr")) & (F.col("key") == F.col("ck")), "left")
-    whole = stage(flagged.filter("linked OR jp IS NULL OR ck IS NULL").select("region", "key", "n", "pivot", "linked", "d"), "jj-open-cells")
-    ring_edge = stage(whole.filter(f"NOT linked AND d <= {2 * eps + tick}").groupBy(F.col("region").alias("r"), F.col("pivot").alias("p"))
-                      .agg(F.min("d").alias("edge")), "jj-edge")
-    cells = whole.join(ring_edge, (F.col("region") == F.col("r")) & (F.col("pivot") == F.col("p")))
+    # A pivot's cell is one for all regions that picked it.
+    cell = flagged.groupBy("pivot", "key").agg(F.any_value("n").alias("n"), F.bool_or("linked").alias("linked"), F.min("d").alias("d"),
+                                               F.bool_or(F.col("jp").isNotNull() & F.col("ck").isNotNull()).alias("covered"))
+    cell = stage(cell.filter("linked OR NOT covered"), "jj-cells")
+    ring_edge = stage(cell.filter(f"NOT linked AND d <= {2 * eps + tick}").groupBy(F.col("pivot").alias("p")).agg(F.min("d").alias("edge")), "jj-edge")
+    cells = cell.join(ring_edge, F.col("pivot") == F.col("p"))
     cells = cells.filter(f"(linked AND d >= edge - {eps + tick}) OR (NOT linked AND d <= {2 * eps + tick})").select(
-        F.xxhash64("region", "pivot", F.lit(1)).alias("region"), "key", "n", F.when(F.col("linked"), 1).otherwise(2).alias("side"))
+        F.xxhash64("pivot", F.lit(depth)).alias("region"), "key", "n", F.when(F.col("linked"), 1).otherwise(2).alias("side"))
     near = stage(whole.filter("linked").select(F.col("region").alias("r"), F.col("key").alias("k")).union(pivots.select("pr", "pivot")).distinct(), "jj-near")
     rest = big.filter("side = 0").join(near, (F.col("region") == F.col("r")) & (F.col("key") == F.col("k")), "left_anti").select(
         F.xxhash64("region", F.lit(2)).alias("region"), "key", "n", F.lit(0).alias("side"))
