@@ -70,8 +70,26 @@ def prune(sync: DataFrame, chunks: DataFrame, superseded: DataFrame | None = Non
     return sync.join(gone, "chunk_id", "left_anti")
 
 
-def latest_per_chunk(changes: DataFrame, version: str = "audit__updated_date") -> DataFrame:
-    """The newest state of every chunk in a change log; equal times resolve to the greatest row."""
-    others = [c for c in changes.columns if c not in ("chunk_id", version)]
-    newest = F.max(F.struct(version, *others)).alias("_newest")
-    return changes.groupBy("chunk_id").agg(newest).select("chunk_id", *[f"_newest.{c}" for c in (version, *others)])
+def latest_per_chunk(changes: DataFrame, version: str = "audit__updated_date", gone: str = "gone") -> DataFrame:
+    """The newest state of every chunk in a change log; equal times resolve to the greatest row.
+
+    A log with a ``gone`` column holds tombstones: a chunk whose newest row is one is not there any more.
+    At equal times the tombstone wins.
+    """
+    marked = gone in changes.columns
+    others = [c for c in changes.columns if c not in ("chunk_id", version, gone)]
+    newest = F.max(F.struct(version, *([gone] if marked else []), *others)).alias("_newest")
+    latest = changes.groupBy("chunk_id").agg(newest)
+    if marked:
+        latest = latest.filter(~F.coalesce(F.col(f"_newest.{gone}"), F.lit(False)))
+    return latest.select("chunk_id", *[f"_newest.{c}" for c in (version, *others)])
+
+
+def compact_log(log: DataFrame, path: str, version: str = "audit__updated_date", gone: str = "gone") -> DataFrame:
+    """Write the present state of ``log`` as a new log under ``path``: one row per chunk, no tombstones.
+
+    Compact only what every reader has taken; later changes go on in the new log.
+    """
+    latest = latest_per_chunk(log, version, gone).withColumn(gone, F.lit(False)).select(*log.columns)
+    latest.write.parquet(path)
+    return log.sparkSession.read.schema(log.schema).parquet(path)

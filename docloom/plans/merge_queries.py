@@ -236,24 +236,28 @@ def sync_prune(spark, sf_dir):
     return sync.prune(table, current, versions.superseded(meta)).select("chunk_id", "document_title")
 
 
-_LATEST = f"""SELECT chunk_id, chunk_text, vec_id, audit__updated_date FROM (
-    SELECT *, row_number() OVER (PARTITION BY chunk_id ORDER BY audit__updated_date DESC) AS n FROM (
-      SELECT chunk_id, chunk_text, vec_id, '{fx.EARLIER}' AS audit__updated_date FROM fx_chunks_before
-        WHERE embedding_status = 'COMPLETED'
-      UNION ALL SELECT chunk_id, chunk_text, vec_id, '{fx.LATER}' FROM fx_chunks_after
-        WHERE embedding_status = 'COMPLETED')) WHERE n = 1"""
+# The state after an initial load and a change set: only chunks that are still there and have a vector.
+_LATEST = f"""SELECT a.chunk_id, a.chunk_text, a.vec_id, CASE WHEN b.chunk_id IS NULL OR a.chunk_text IS DISTINCT FROM b.chunk_text
+      OR a.vec_id IS DISTINCT FROM b.vec_id OR a.embedding_status IS DISTINCT FROM b.embedding_status
+      THEN '{fx.LATER}' ELSE '{fx.EARLIER}' END AS audit__updated_date
+    FROM fx_chunks_after a LEFT JOIN fx_chunks_before b USING (chunk_id) WHERE a.embedding_status = 'COMPLETED'"""
 _LOG = ["chunk_id", "chunk_text", "vec_id", "audit__updated_date"]
 
 
 def _changes(spark, sf_dir):
-    before = fx.chunks(spark, sf_dir, fx.BEFORE).withColumn("audit__updated_date", _time(fx.EARLIER))
-    after = fx.chunks(spark, sf_dir, fx.AFTER).withColumn("audit__updated_date", _time(fx.LATER))
-    return before.unionByName(after).select(*_LOG, "embedding_status")
+    """A feed: everything as inserted first, then what was inserted, updated or deleted since."""
+    before, after = fx.chunks(spark, sf_dir, fx.BEFORE), fx.chunks(spark, sf_dir, fx.AFTER)
+    compared = ["chunk_text", "vec_id", "embedding_status"]
+    first = before.select("chunk_id", F.lit("insert").alias("change_type"), *compared)
+    since = mg.change_set(before, after, "chunk_id", compared)
+    return first.withColumn("audit__updated_date", _time(fx.EARLIER)).unionByName(
+        since.withColumn("audit__updated_date", _time(fx.LATER)))
 
 
 @query(_LATEST, "fx_chunks_before", "fx_chunks_after")
 def sync_latest(spark, sf_dir):
-    log = _changes(spark, sf_dir).filter(F.col("embedding_status") == COMPLETED).select(*_LOG)
+    gone = (F.col("embedding_status") != COMPLETED) | (F.col("change_type") == "delete")
+    log = _changes(spark, sf_dir).select(*_LOG, gone.alias("gone"))
     return sync.latest_per_chunk(log).select("chunk_id", "chunk_text", "vec_id", _shown("audit__updated_date"))
 
 
@@ -264,5 +268,6 @@ def stream_sync(spark, sf_dir):
     changes.write.parquet(feed)
     stream = sync_stream.change_stream(spark, feed, changes.schema)
     sync_stream.sync_once(stream, log, progress, _LOG)
-    return sync.latest_per_chunk(spark.read.parquet(log)).select(
+    taken = spark.read.parquet(log)
+    return sync.latest_per_chunk(sync.compact_log(taken, scratch_path(spark, "compacted"))).select(
         "chunk_id", "chunk_text", "vec_id", _shown("audit__updated_date"))

@@ -160,6 +160,20 @@ def ddl_tables(spark, sf_dir):
     )
 
 
+@query("""SELECT metadata_id, document_number, CASE WHEN metadata_id % 2 = 1 THEN 'PENDING' END AS index_status FROM fx_meta""",
+       "fx_meta")
+def ddl_evolve(spark, sf_dir):
+    """A table from before some columns existed gets them, with defaults for rows that come later."""
+    database = scratch_database(spark)
+    spark.sql(f"CREATE TABLE {database}.docs_metadata (metadata_id BIGINT, document_number STRING) USING parquet")
+    rows = fx.metadata(spark, sf_dir).select("metadata_id", "document_number")
+    insert = f"INSERT INTO {database}.docs_metadata (metadata_id, document_number) SELECT * FROM {{rows}}"
+    spark.sql(insert, rows=rows.filter("metadata_id % 2 = 0"))
+    writers.create_tables(spark, database)
+    spark.sql(insert, rows=rows.filter("metadata_id % 2 = 1"))
+    return spark.table(f"{database}.docs_metadata").select("metadata_id", "document_number", "index_status")
+
+
 @query("""SELECT b.document_number, b.document_id,
           (SELECT max(metadata_id) FROM fx_meta) + row_number() OVER (ORDER BY b.document_id) AS metadata_id
           FROM fx_batch b WHERE NOT EXISTS (SELECT 1 FROM fx_meta m WHERE m.document_number = b.document_number

@@ -49,7 +49,8 @@ def create_tables(
 ) -> list[str]:
     """Create the corpus tables that do not exist yet, with their nested types and column defaults.
 
-    With ``buckets``, tables joined on ``metadata_id`` are bucketed by it.
+    A table that exists gets the columns it lacks, and the present defaults on all of them; rows
+    already there read NULL in new columns. With ``buckets``, tables joined on ``metadata_id`` are bucketed by it.
     """
     names = []
     for table, schema in TABLES.items():
@@ -60,9 +61,17 @@ def create_tables(
         )
         location = f" LOCATION '{root.rstrip('/')}/{table}'" if root else ""
         bucketed = table in BUCKETED and buckets
+        name = f"{database}.{table}"
+        if spark.catalog.tableExists(name):
+            known = set(spark.table(name).columns)
+            added = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema if f.name not in known)
+            if added:
+                spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({added})")
+            for column, value in defaults.items():
+                spark.sql(f"ALTER TABLE {name} ALTER COLUMN `{column}` SET DEFAULT {value}")
         clause = f" CLUSTERED BY (metadata_id) SORTED BY (metadata_id) INTO {buckets} BUCKETS" if bucketed else ""
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{table} ({columns}) USING parquet{clause}{location}")
-        names.append(f"{database}.{table}")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{clause}{location}")
+        names.append(name)
     return names
 
 

@@ -21,13 +21,18 @@ def change_stream(
 
 
 def sync_once(
-    changes: DataFrame, output: str, checkpoint: str, columns: Sequence[str], status: str = "embedding_status"
+    changes: DataFrame, output: str, checkpoint: str, columns: Sequence[str], status: str = "embedding_status",
+    change: str = "change_type",
 ) -> None:
     """Take every change not yet taken, then stop. The checkpoint makes reruns add nothing twice.
 
-    Stateless per row, so it scales with the input and keeps no state; readers collapse the log.
+    Deleted chunks, and chunks that lost their vector, enter the log as tombstones (``gone``), so that
+    readers drop what they had. Stateless per row: it scales with the input; readers collapse the log.
     """
-    projected = changes.filter(F.col(status) == COMPLETED).select(*columns)
+    gone = ~F.col(status).eqNullSafe(F.lit(COMPLETED))
+    if change in changes.columns:
+        gone = gone | F.col(change).eqNullSafe(F.lit("delete"))
+    projected = changes.select(*columns, gone.alias("gone"))
     query = (
         projected.writeStream.format("parquet")
         .option("checkpointLocation", checkpoint)

@@ -64,8 +64,24 @@ def test_stream_equals_batch_and_restarts_add_nothing(spark):
     for n, load in enumerate(loads):
         log(spark, load).write.mode("append").parquet(feed)
         trigger()
-        everything = [r for part in loads[:n + 1] for r in part if r[2] == "COMPLETED"]
-        assert trigger().count() == len(everything)
-    batch = log(spark, [r for part in loads for r in part]).filter("embedding_status = 'COMPLETED'").select(*columns)
+        assert trigger().count() == sum(len(part) for part in loads[:n + 1])
+    batch = log(spark, [r for part in loads for r in part]).withColumn("gone", F.col("embedding_status") != "COMPLETED").select(*columns, "gone")
     assert rows(sync.latest_per_chunk(trigger())) == rows(sync.latest_per_chunk(batch))
     assert rows(sync.latest_per_chunk(batch), "chunk_id", "chunk_text") == [(1, "a2"), (2, "b2"), (3, "c0")]
+
+
+def test_failed_and_deleted_chunks_leave_the_state(spark):
+    feed, out, progress = (scratch_path(spark, n) for n in ("feed", "out", "progress"))
+    columns = ["chunk_id", "chunk_text", "audit__updated_date"]
+    loads = [[(1, "a", "COMPLETED", 1, "insert"), (2, "b", "COMPLETED", 1, "insert"), (3, "c", "COMPLETED", 1, "insert")],
+             [(1, "a", "FAILED", 2, "update"), (2, "b", "COMPLETED", 2, "delete"), (3, "c", "COMPLETED", 1, "delete")],
+             [(2, "b3", "COMPLETED", 3, "insert")]]
+    states = []
+    for load in loads:
+        change = log(spark, [r[:4] for r in load]).join(spark.createDataFrame([(r[0], r[4]) for r in load], "chunk_id bigint, change_type string"), "chunk_id")
+        change.write.mode("append").parquet(feed)
+        sync_stream.sync_once(sync_stream.change_stream(spark, feed, change.schema, 1), out, progress, columns)
+        states.append(rows(sync.latest_per_chunk(spark.read.parquet(out)), "chunk_id", "chunk_text"))
+    assert states == [[(1, "a"), (2, "b"), (3, "c")], [], [(2, "b3")]]
+    compacted = sync.compact_log(spark.read.parquet(out), scratch_path(spark, "compacted"))
+    assert rows(compacted, "chunk_id", "chunk_text", "gone") == [(2, "b3", False)]
