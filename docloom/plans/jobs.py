@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docloom.functions.metadata import align, batch_number, composite_path, normalise_names, target_path
 from docloom.operators import corpus, stages, sync, versions
@@ -19,6 +20,7 @@ from docloom.operators.positions import chunk_key, surrogate_keys
 from docloom.schemas import (
     BATCH_COUNT, BUCKETED, DEFAULTS, EXPORT_RENAMES, METADATA, VERSION_KEY, VIEWABLE_RENDITION,
 )
+from docloom.sources.readers import CORRUPT
 from docloom.sources.writers import Fetcher, land_files, overwrite_table
 from docloom.staging import stage
 
@@ -52,23 +54,51 @@ class Corpus:
         return stage(stages.gated(self.read("docs_metadata"), stage_name, *columns), f"{stage_name}-batch")
 
 
-def shape_export(export: DataFrame, landing: str, batches: int = BATCH_COUNT) -> DataFrame:
-    """An export under its own field names, as metadata rows with their paths and batch."""
+def split_export(export: DataFrame, landing: str, batches: int = BATCH_COUNT) -> tuple[DataFrame, DataFrame]:
+    """An export under its own field names, as (metadata rows with their paths and batch, rejects). A reject keeps its export row as JSON and says why.
+
+    Rejected are lines that could not be read, rows without a full version key, and rows with a value that
+    does not fit its column; none of them can be matched again, so loading them would add them every time.
+    """
     path = composite_path(F.col("id").cast("string"), F.col("document_number__v"))
-    renamed = normalise_names(export.withColumn("dst_path", path)).withColumnsRenamed(EXPORT_RENAMES)
+    corrupt = F.col(CORRUPT) if CORRUPT in export.columns else F.lit(None).cast("string")
+    kept = export.withColumns({"_row": F.to_json(F.struct(*[F.col(f"`{c}`") for c in export.columns if c != CORRUPT])), "_corrupt": corrupt})
+    renamed = normalise_names(kept.drop(CORRUPT).withColumn("dst_path", path)).withColumnsRenamed(EXPORT_RENAMES)
     renamed = renamed.withColumn("batch_id", batch_number(F.col("document_id"), batches))
     place = target_path(F.lit(landing), F.col("batch_id"), F.col("document_number"), F.col("source_file_path"))
-    return align(renamed.withColumn("document_s3_path", place), METADATA)
+    carried = T.StructType([*METADATA, T.StructField("_row", T.StringType()), T.StructField("_corrupt", T.StringType())])
+    shaped = align(renamed.withColumn("document_s3_path", place), carried, reject="_lost")
+    keyless = F.lit(False)
+    for column in VERSION_KEY:
+        keyless = keyless | F.col(column).isNull()
+    reason = (F.when(F.col("_corrupt").isNotNull(), "unreadable line").when(F.col("_lost"), "value of another type")
+              .when(keyless, "no version key"))
+    judged = stage(shaped.withColumn("reason", reason), "export")
+    bad = judged.filter("reason IS NOT NULL").select("reason", F.coalesce("_corrupt", "_row").alias("row"))
+    return judged.filter("reason IS NULL").drop("_row", "_corrupt", "_lost", "reason"), bad
+
+
+def keep_rejects(bad: DataFrame, path: str) -> None:
+    """Append rejects to the table at ``path``; those already there are not added again."""
+    spark, bad = bad.sparkSession, bad.distinct()
+    empty = spark.createDataFrame([], bad.schema)
+    empty.write.mode("append").parquet(path)
+    known = spark.read.schema(bad.schema).parquet(path)
+    stage(bad.join(known, ["reason", "row"], "left_anti"), "rejects").write.mode("append").parquet(path)
 
 
 def load_metadata(
-    to: Corpus, export: DataFrame, landing: str, rendition: str | None = VIEWABLE_RENDITION
+    to: Corpus, export: DataFrame, landing: str, rendition: str | None = VIEWABLE_RENDITION, rejects: str | None = None
 ) -> None:
-    """Insert document versions not known yet; known versions stay untouched."""
-    rows = shape_export(export, landing)
+    """Insert document versions not known yet; known versions stay untouched.
+
+    Rows that cannot be loaded go to the Parquet table at ``rejects``, when it is given, and never into the metadata.
+    """
+    rows, bad = split_export(export, landing)
+    if rejects is not None:
+        keep_rejects(bad, rejects)
     if rendition is not None:
         rows = rows.filter(F.col("rendition_type") == rendition)
-    rows = stage(rows, "export")
     known = to.read("docs_metadata")
     new = rows.join(known.select(*VERSION_KEY), VERSION_KEY, "left_anti")
     keyed = surrogate_keys(new, known, "metadata_id", [F.col("document_id"), *[F.col(c) for c in VERSION_KEY]])

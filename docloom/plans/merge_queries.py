@@ -8,6 +8,7 @@ from docloom.operators import merge as mg
 from docloom.operators import stages, sync, versions
 from docloom.operators.corpus import embed_from_vectors
 from docloom.plans import fixtures as fx
+from docloom.plans import jobs
 from docloom.plans.table_queries import query
 from docloom.schemas import COMPLETED, DEFAULTS, FAILED, VERSION_KEY, VIEWABLE_RENDITION
 from docloom.staging import scratch_path, stage
@@ -254,6 +255,22 @@ def _changes(spark, sf_dir):
         since.withColumn("audit__updated_date", _time(fx.LATER)))
 
 
+@query("""SELECT CASE WHEN document_id % 7 = 0 THEN 'value of another type' ELSE 'no version key' END AS reason, document_id,
+          count(*) AS n FROM fx_meta WHERE document_id % 7 = 0 OR document_id % 11 = 0 GROUP BY ALL""", "fx_meta")
+def load_rejects(spark, sf_dir):
+    """An export in which some versions are no numbers and some document numbers are missing, kept twice."""
+    good = fx.export(fx.metadata(spark, sf_dir))
+    damaged = good.withColumns({
+        "major_version_number__v": F.when(F.col("id").cast("long") % 7 == 0, "x1").otherwise(F.col("major_version_number__v")),
+        "document_number__v": F.when(F.col("id").cast("long") % 11 == 0, F.lit(None)).otherwise(F.col("document_number__v")),
+    })
+    path = scratch_path(spark, "rejects")
+    for _ in range(2):
+        jobs.keep_rejects(jobs.split_export(damaged, "landing")[1], path)
+    kept = spark.read.parquet(path).withColumn("document_id", F.get_json_object("row", "$.id").cast("long"))
+    return kept.groupBy("reason", "document_id").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(_LATEST, "fx_chunks_before", "fx_chunks_after")
 def sync_latest(spark, sf_dir):
     gone = (F.col("embedding_status") != COMPLETED) | (F.col("change_type") == "delete")

@@ -73,6 +73,17 @@ def test_loading_again_changes_nothing(built, spark):
     assert rows(to.read("docs_metadata"), "metadata_id", "document_number", "index_status") == before
 
 
+def test_bad_rows_are_kept_apart_and_loading_thrice_changes_nothing(built, spark):
+    to, export, _, root = built
+    bad = export.limit(3).withColumns({"major_version_number__v": F.lit("no number"), "id": (F.col("id").cast("long") + 10**6).cast("string")})
+    keyless = export.limit(2).withColumn("document_number__v", F.lit(None).cast("string"))
+    before, rejects = rows(to.read("docs_metadata"), "metadata_id", "document_number"), scratch_path(spark, "rejects")
+    for _ in range(3):
+        jobs.load_metadata(to, export.unionByName(bad).unionByName(keyless), root, rejects=rejects)
+    assert rows(to.read("docs_metadata"), "metadata_id", "document_number") == before
+    assert sorted(r.reason for r in spark.read.parquet(rejects).collect()) == ["no version key"] * 2 + ["value of another type"] * 3
+
+
 def test_requeued_documents_are_chunked_again_under_the_same_ids(built, spark):
     to, _, read_pages, _ = built
     ids = rows(to.read("docs_embeddings"), "chunk_id")
