@@ -6,7 +6,7 @@ an item then meet along a diagonal (equal distance of positions). The placeholde
 to one over the whole diagonal: the same value in the item is the same value in the document and the other
 way round. ``RUN`` windows in this agreement (13 tokens), or all of a shorter item's, make a leak.
 
-Items with the same template and the same pattern of equal slots are one family, so a hundred parametrisations
+Items with the same template and, over the whole item, the same pattern of equal slots are one family, so a hundred parametrisations
 of one question cost no more than one. Before the shuffle a filter of fixed size drops document windows that no
 item has; it can let strangers pass but never loses a match.
 """
@@ -91,6 +91,21 @@ def canonical(data: np.ndarray, offsets: np.ndarray, units: np.ndarray) -> tuple
     return np.where(kinds > 0, kinds.astype(np.uint64), value), np.where(kinds > 0, value | np.uint64(1), np.uint64(0)), first
 
 
+def first_equal(owner: np.ndarray, slots: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """For every token the place of the first slot with its value in the same text, from 1; 0 where there is no slot."""
+    out = np.zeros(len(slots), dtype=np.int64)
+    at = np.flatnonzero(slots)
+    order = at[np.lexsort((at, slots[at], owner[at]))]
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (slots[order[1:]] != slots[order[:-1]]) | (owner[order[1:]] != owner[order[:-1]])
+    out[order] = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))] - first[owner[order]] + 1
+    return out
+
+
+def _lists(values: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(values) + 1, dtype=np.int32) * values.shape[1]), pa.array(values.ravel().view(np.int64)))
+
+
 def _window_tasks(known: np.ndarray | None, sizes: tuple[int, ...]):
     """Windows of every text: all of them, or those that may be ``known``. A text shorter than ``WINDOW`` is one window."""
     units = _unit_hashes()
@@ -102,6 +117,7 @@ def _window_tasks(known: np.ndarray | None, sizes: tuple[int, ...]):
                 counts = np.diff(first)
                 owner = np.repeat(np.arange(len(counts)), counts)
                 literal = np.concatenate([[0], np.cumsum(slots == 0)])
+                same = first_equal(owner, slots, first) if known is None else None
                 for size in sizes:
                     hashes = windows(tokens, size) ^ np.uint64(size)
                     at = np.arange(len(hashes))
@@ -115,12 +131,12 @@ def _window_tasks(known: np.ndarray | None, sizes: tuple[int, ...]):
                     at = at[keep]
                     if not len(at):
                         continue
-                    values = slots[at[:, None] + np.arange(size)]
-                    yield pa.RecordBatch.from_arrays([
-                        batch.column(0).take(pa.array(row + owner[at])), pa.array((at - first[owner[at]]).astype(np.int64)),
-                        pa.array(counts[owner[at]].astype(np.int64)), pa.array(hashes[at].view(np.int64)),
-                        pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1, dtype=np.int32) * size), pa.array(values.ravel().view(np.int64)))],
-                        ["id", "pos", "tokens", "hash", "slots"])
+                    places = at[:, None] + np.arange(size)
+                    columns = [batch.column(0).take(pa.array(row + owner[at])), pa.array((at - first[owner[at]]).astype(np.int64)),
+                               pa.array(counts[owner[at]].astype(np.int64)), pa.array(hashes[at].view(np.int64)), _lists(slots[places])]
+                    if same is not None:
+                        columns.append(_lists(same[places]))
+                    yield pa.RecordBatch.from_arrays(columns, ["id", "pos", "tokens", "hash", "slots", "same"][:len(columns)])
 
     return found
 
@@ -132,10 +148,10 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     """(item_id, ipos, item_windows, hash, islots), one item per family: the least item_id."""
     sizes = tuple(range(LEAST_TOKENS, WINDOW + 1))
     raw = stage(benchmark.select("item_id", "text").filter("item_id IS NOT NULL AND text IS NOT NULL").dropDuplicates(["item_id"])
-                .mapInArrow(_window_tasks(None, sizes), _SCHEMA), "leak-items")
-    same = F.transform("slots", lambda v: F.array_position("slots", v))  # which slots of a window are equal
-    # All windows of an item, in order, are its template; an item has few, so the list is bounded by its text.
-    family = raw.groupBy("id").agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "hash", same.alias("same")))), lambda x: F.to_json(x)), ","), 256).alias("family"), F.count("*").alias("item_windows"))
+                .mapInArrow(_window_tasks(None, sizes), f"{_SCHEMA}, same array<long>"), "leak-items")
+    # All windows of an item, in order, are its template, and ``same`` says which slots of the item are equal;
+    # an item has few windows, so the list is bounded by its text.
+    family = raw.groupBy("id").agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "hash", "same"))), lambda x: F.to_json(x)), ","), 256).alias("family"), F.count("*").alias("item_windows"))
     kept = stage(family.groupBy("family").agg(F.min(F.struct("id", "item_windows")).alias("k")).select("k.*"), "leak-families")
     return raw.join(kept, "id").select(F.col("id").alias("item_id"), F.col("pos").alias("ipos"), "item_windows", "hash", F.col("slots").alias("islots"))
 

@@ -161,6 +161,19 @@ def test_slots_must_map_one_to_one(spark):
     assert [r.doc_id for r in got] == [1]
 
 
+def leaked(spark, docs, items):
+    docs = table(spark, docs)
+    leaks = decontaminate.find_leaks(docs, spark.createDataFrame(items, "item_id long, text string"))
+    return {(r.doc_id, r.item_id, r.verbatim) for r in docs.select("doc_id", decontaminate.text_key().alias("text_key")).join(leaks, "text_key").collect()}
+
+
+def test_equal_slots_far_apart_part_families(spark):
+    item = "So Sam has {} red apples in the old basket by the kitchen door and later on buys {} more of them at the market near home"
+    for one, two in (((5, 5), (4, 9)), ((4, 9), (5, 5))):
+        got = leaked(spark, [(1, "well " + item.format(*two))], [(1, item.format(*one)), (2, item.format(*two)), (3, item.format(*(x + 20 for x in two)))])
+        assert got == {(1, 2, True)}  # 3 has the pattern of 2 and is in its family
+
+
 def naive_best_fit(sizes, sources, clusters, capacity):
     bins, out = [], []
     for size, source, cluster in zip(sizes, sources, clusters, strict=True):
