@@ -6,6 +6,10 @@ an item then meet along a diagonal (equal distance of positions). The placeholde
 to one over the whole diagonal: the same value in the item is the same value in the document and the other
 way round. ``RUN`` windows in this agreement (13 tokens), or all of a shorter item's, make a leak.
 
+Windows poor in plain words (fewer than ``LEAST_WORDS``) say too little as templates: they are hashed with the
+values of their slots and meet only word for word. They count beside the template windows of their diagonal, and
+enough of them make a leak on their own, so sums and lists of names are found when they are copied as they are.
+
 Items with the same template and, over the whole item, the same pattern of equal slots are one family, so a hundred parametrisations
 of one question cost no more than one. Before the shuffle a filter of fixed size drops document windows that no
 item has; it can let strangers pass but never loses a match.
@@ -22,7 +26,7 @@ from pyspark.sql import functions as F
 
 from docloom.llm.graphs import bit_filter, may_contain
 from docloom.llm.registry import query
-from docloom.llm.wordhash import _LOWER, span_hashes, text_blocks, windows
+from docloom.llm.wordhash import _LOWER, mix, span_hashes, text_blocks, windows
 from docloom.staging import stage
 
 WINDOW, RUN, LEAST_TOKENS, LEAST_WORDS = 8, 6, 5, 4
@@ -114,46 +118,59 @@ def _window_tasks(known: np.ndarray | None, sizes: tuple[int, ...]):
         for batch in batches:
             for row, data, offsets in text_blocks(batch.column(1)):
                 tokens, slots, first = canonical(data, offsets, units)
+                exact = np.where(slots == 0, tokens, slots) | np.uint64(1)  # a capital that opens a sentence here and not there is the same word
                 counts = np.diff(first)
                 owner = np.repeat(np.arange(len(counts)), counts)
                 literal = np.concatenate([[0], np.cumsum(slots == 0)])
                 same = first_equal(owner, slots, first) if known is None else None
                 for size in sizes:
                     hashes = windows(tokens, size) ^ np.uint64(size)
+                    exactly = mix(windows(exact, size) ^ np.uint64(size))
                     at = np.arange(len(hashes))
-                    # Inside one text, with enough plain words; windows shorter than the usual only where asked for.
+                    poor = literal[at + size] - literal[at] < min(LEAST_WORDS, size - 1)
+                    # Inside one text; windows shorter than the usual only where asked for.
                     keep = (owner[:len(hashes)] == owner[size - 1:]) if len(hashes) else np.zeros(0, dtype=bool)
-                    keep &= literal[at + size] - literal[at] >= min(LEAST_WORDS, size - 1)
                     if known is None:
                         keep &= (counts[owner[:len(hashes)]] == size) if size < WINDOW else True
+                        at = at[keep]
+                        hashes, poor = np.where(poor, exactly, hashes)[at], poor[at]
                     else:
-                        keep &= may_contain(known, hashes)
-                    at = at[keep]
+                        rich, plain = np.flatnonzero(keep & ~poor & may_contain(known, hashes)), np.flatnonzero(keep & may_contain(known, exactly))
+                        at, poor = np.concatenate([rich, plain]), np.arange(len(rich) + len(plain)) >= len(rich)
+                        hashes = np.concatenate([hashes[rich], exactly[plain]])
                     if not len(at):
                         continue
                     places = at[:, None] + np.arange(size)
                     columns = [batch.column(0).take(pa.array(row + owner[at])), pa.array((at - first[owner[at]]).astype(np.int64)),
-                               pa.array(counts[owner[at]].astype(np.int64)), pa.array(hashes[at].view(np.int64)), _lists(slots[places])]
+                               pa.array(counts[owner[at]].astype(np.int64)), pa.array(hashes.view(np.int64)), pa.array(poor), _lists(slots[places])]
                     if same is not None:
                         columns.append(_lists(same[places]))
-                    yield pa.RecordBatch.from_arrays(columns, ["id", "pos", "tokens", "hash", "slots", "same"][:len(columns)])
+                    yield pa.RecordBatch.from_arrays(columns, ["id", "pos", "tokens", "hash", "poor", "slots", "same"][:len(columns)])
 
     return found
 
 
-_SCHEMA = "id long, pos long, tokens long, hash long, slots array<long>"
+_SCHEMA = "id long, pos long, tokens long, hash long, poor boolean, slots array<long>"
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """(item_id, ipos, item_windows, hash, islots), one item per family: the least item_id."""
+    """(item_id, ipos, item_windows, rich_windows, hash, poor, islots): the template windows of one item per family, and
+    the windows poor in plain words of all its members, each once. ``rich_windows`` of the item's windows are templates."""
     sizes = tuple(range(LEAST_TOKENS, WINDOW + 1))
     raw = stage(benchmark.select("item_id", "text").filter("item_id IS NOT NULL AND text IS NOT NULL").dropDuplicates(["item_id"])
                 .mapInArrow(_window_tasks(None, sizes), f"{_SCHEMA}, same array<long>"), "leak-items")
     # All windows of an item, in order, are its template, and ``same`` says which slots of the item are equal;
-    # an item has few windows, so the list is bounded by its text.
-    family = raw.groupBy("id").agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "hash", "same"))), lambda x: F.to_json(x)), ","), 256).alias("family"), F.count("*").alias("item_windows"))
-    kept = stage(family.groupBy("family").agg(F.min(F.struct("id", "item_windows")).alias("k")).select("k.*"), "leak-families")
-    return raw.join(kept, "id").select(F.col("id").alias("item_id"), F.col("pos").alias("ipos"), "item_windows", "hash", F.col("slots").alias("islots"))
+    # an item has few windows, so the list is bounded by its text. Poor windows tell items apart only where there are no others.
+    whole = F.array_sort(F.collect_list(F.struct("pos", "poor", "hash", "same")))
+    rich = F.count_if(~F.col("poor"))
+    template = F.transform(whole, lambda x: F.struct(x["pos"], x["poor"], F.when(~x["poor"] | (rich == 0), x["hash"]).alias("hash"), x["same"]))
+    family = raw.groupBy("id").agg(F.sha2(F.to_json(template), 256).alias("family"), F.count("*").alias("item_windows"), rich.alias("rich_windows"))
+    family = stage(family, "leak-families")
+    kept = family.groupBy("family").agg(F.min(F.struct(F.col("id").alias("item_id"), "item_windows", "rich_windows")).alias("k")).select("family", "k.*")
+    members = stage(family.select("id", "family").join(kept, "family").drop("family"), "leak-members")
+    mine = raw.join(members, "id").filter(F.col("poor") | (F.col("id") == F.col("item_id")))
+    slots = F.when(F.col("poor"), F.transform("slots", lambda _: F.lit(0).cast("long"))).otherwise(F.col("slots"))
+    return mine.groupBy("item_id", F.col("pos").alias("ipos"), "item_windows", "rich_windows", "hash", "poor").agg(F.any_value(slots).alias("islots"))
 
 
 def text_key():
@@ -174,12 +191,15 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     seen = docs.select(text_key().alias("key"), "text").mapInArrow(_window_tasks(known, sizes), _SCHEMA)
     # Copies of a text give equal rows, which meet and fall together before the join.
     seen = stage(seen.groupBy("id", "pos", "hash").agg(F.any_value("slots").alias("slots")), "leak-windows")
-    pairs = seen.join(items, "hash").select(F.col("id").alias("text_key"), "item_id", "item_windows", "ipos", (F.col("pos") - F.col("ipos")).alias("diagonal"),
-                                            F.arrays_zip(F.col("islots").alias("i"), F.col("slots").alias("d")).alias("slots"))
+    pairs = seen.join(items, "hash").select(F.col("id").alias("text_key"), "item_id", "item_windows", "rich_windows", "ipos", "poor", (F.col("pos") - F.col("ipos")).alias("diagonal"),
+                                            F.when(~F.col("poor"), F.arrays_zip(F.col("islots").alias("i"), F.col("slots").alias("d"))).alias("slots"))
     values = F.array_distinct(F.flatten(F.collect_list(F.filter("slots", lambda s: s["i"] != 0))))
-    lines = pairs.groupBy("text_key", "item_id", "item_windows", "diagonal").agg(F.count_distinct("ipos").alias("n_windows"), values.alias("v"))
+    lines = pairs.groupBy("text_key", "item_id", "item_windows", "rich_windows", "diagonal").agg(
+        F.size(F.collect_set("ipos")).cast("long").alias("n_windows"), F.size(F.collect_set(F.when(~F.col("poor"), F.col("ipos")))).alias("n_rich"), values.alias("v"))
     one_to_one = (F.size("v") == F.size(F.array_distinct(F.transform("v", lambda s: s["i"])))) & (F.size("v") == F.size(F.array_distinct(F.transform("v", lambda s: s["d"]))))
-    good = lines.filter(one_to_one & (F.col("n_windows") >= F.least(F.lit(RUN), "item_windows")))
+    enough = F.least(F.lit(RUN), "item_windows")
+    template = (F.col("n_rich") > 0) & (F.col("n_rich") >= F.least(F.lit(RUN), "rich_windows")) | (F.col("n_windows") >= enough)
+    good = lines.filter(one_to_one & template | (F.col("n_windows") - F.col("n_rich") >= enough))
     verbatim = F.forall("v", lambda s: s["i"] == s["d"])
     return stage(good.groupBy("text_key", "item_id").agg(F.max("n_windows").alias("n_windows"), F.max("item_windows").alias("item_windows"),
                                                          F.max(verbatim).alias("verbatim")), "leaks")

@@ -174,6 +174,13 @@ def test_equal_slots_far_apart_part_families(spark):
         assert got == {(1, 2, True)}  # 3 has the pattern of 2 and is in its family
 
 
+def test_copies_of_items_poor_in_plain_words(spark):
+    total, names = "Compute 17 * 24 + 305 / 5 - 12", "Meet Anna Berg, Carl Dahl, Emma Falk, Gustav Holm, Ida Juhl, Karl Lund, Maria Nord, Otto Palm, Rosa Smed and 12 others"
+    items = [(1, total), (2, total.replace("17", "18")), (3, names)]
+    docs = [(1, "first: " + total + " at once"), (2, "then " + total.replace("24", "25")), (3, "we " + names), (4, "we " + names.replace("Emma", "Lisa").replace("Karl", "Lars").replace("Rosa", "Anna")), (5, "so " + items[1][1])]
+    assert leaked(spark, docs, items) == {(1, 1, True), (3, 3, True), (5, 2, True)}
+
+
 def naive_best_fit(sizes, sources, clusters, capacity):
     bins, out = [], []
     for size, source, cluster in zip(sizes, sources, clusters, strict=True):
