@@ -37,11 +37,17 @@ class Rule:
 
 # The first three rules and their order are given; a match of 'assign' may be too short and is then dropped.
 _ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+# A private key runs to its END line, or else over the lines of its header and the key-like lines behind it. Loops stay
+# over single characters or are counted, so long texts need no deep stack; RE2 reads the pattern as well.
+_BREAK = r"""[\x20\t\r\n\\"'>|#*,;+]+"""
+_PEM = (r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----(?:[^-]*(?:-{1,4}[^-]+){0,100}-----END [A-Z ]{0,40}PRIVATE KEY-----"
+        rf"|(?:{_BREAK}(?:Proc-Type|DEK-Info):[^\r\n]*){{0,4}}(?:{_BREAK}[A-Za-z0-9+/=]{{20,}})*"
+        rf"(?:{_BREAK}[A-Za-z0-9+/]+={{1,2}}|[\r\n]+[A-Za-z0-9+/]+[\x20\t]*(?:\r?\n|$))?)")
 RULES = (
     Rule("assign", _ASSIGN, r"""(?i)(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]""", 2, 8),
     Rule("access", r"AKIA[A-Z0-9]+", "AKIA[A-Z0-9]{12}", 0, 16),
     Rule("hex", r"(?<![0-9a-f])[0-9a-f]{32,}", r"[0-9a-f]{32}"),
-    Rule("pem", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", r"-----BEGIN "),
+    Rule("pem", _PEM, r"-----BEGIN ", version=2),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}", r"gh[pousr]_"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}", r"eyJ[A-Za-z0-9_-]{10}"),
 )
@@ -120,8 +126,9 @@ def _without(text: Column, rule: Rule) -> Column:
 
 
 def redact(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
-    """``text`` with every secret replaced, rule after rule; linear in the text."""
-    for rule in rules:
+    """``text`` with every secret replaced, rule after rule; linear in the text. Keys of many lines go first, so that
+    no other rule breaks one up."""
+    for rule in sorted(rules, key=lambda r: r.name != "pem"):
         text = _without(text, rule)
     return text
 
