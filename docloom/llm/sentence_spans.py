@@ -1,7 +1,8 @@
 """Substring dedup over sliding sentence spans: every repeated span is kept once in the corpus.
 
 A sentence ends behind a word that ends in ``.``, ``!`` or ``?``, at a line break, and at the end of the text. A span is
-the shortest run of at least ``SENTENCES`` sentences with ``WORDS`` words, one for every sentence it can begin with.
+the shortest run of at least ``SENTENCES`` sentences with ``WORDS`` words, one for every sentence it can begin with
+and one for every sentence it can end with: between them they cover every sentence of a repeated run of that length.
 All spans are hashed and joined over the whole corpus; the first occurrence (least doc_id, then position)
 stays, and every sentence that another occurrence covers is removed.
 
@@ -46,9 +47,14 @@ def sentences(data: np.ndarray, offsets: np.ndarray):
 
 
 def spans(hashes: np.ndarray, heads: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first sentence, number of sentences, hash) of every span."""
+    """(first sentence, number of sentences, hash) of every span, each once."""
     first = np.arange(len(owner))
     last = np.maximum(first + SENTENCES, np.searchsorted(heads, heads[:-1] + WORDS))  # one behind the last sentence
+    end = first + 1
+    begin = np.minimum(end - SENTENCES, np.searchsorted(heads, heads[1:] - WORDS, side="right") - 1)
+    other = begin >= 0
+    other[other] = last[begin[other]] != end[other]  # not the run that begins there as well
+    first, last = np.concatenate([first, begin[other]]), np.concatenate([last, end[other]])
     fits = last <= len(owner)
     fits[fits] = owner[last[fits] - 1] == owner[first[fits]]
     first, last = first[fits], last[fits]

@@ -130,6 +130,13 @@ def test_sentence_spans(spark):
     assert sentence_spans.dedup_spans(table(spark, [])).count() == 0
 
 
+def test_short_sentences_at_the_end_of_a_passage(spark):
+    passage = " ".join(" ".join(f"s{k}w{i}" for i in range(n)) + "." for k, n in enumerate((30, 9, 10)))
+    rows = [(i, f"Own {i} words.\n{passage}\nEnd of number {i}.") for i in range(3)]
+    got = {r.doc_id: r for r in sentence_spans.dedup_spans(table(spark, rows)).collect()}
+    assert {d: (r.n_removed, r.text) for d, r in got.items()} == {i: (3, f"Own {i} words.\nEnd of number {i}.") for i in (1, 2)}
+
+
 ITEM = "A train leaves Boston at 9 and travels 120 miles to Albany in 3 hours while another train waits near Boston for passengers who like tea"
 
 
