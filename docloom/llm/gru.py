@@ -93,6 +93,41 @@ def logits(x: np.ndarray, real: np.ndarray, p: dict) -> np.ndarray:
     return p["out"] @ pooled + p["out_b"][0]
 
 
+def sliding_logits(x: np.ndarray, steps: int, real: np.ndarray | None, p: dict) -> np.ndarray:
+    """``logits`` of all windows of ``steps`` neighbouring columns of ``x`` (6 hidden, column), without a copy per window.
+
+    Attention needs two numbers per state, so states are not kept. ``real`` (step, window) masks padding.
+    """
+    n, hidden = x.shape[1] - steps + 1, len(p["att"]) // 2
+    halves = np.zeros((2, steps, n), np.float32)  # attention and output, summed over both directions
+    for part, u, order in ((slice(0, 3 * hidden), p["fw"], range(steps)), (slice(3 * hidden, None), p["bw"], range(steps - 1, -1, -1))):
+        side = slice(0, hidden) if part.start == 0 else slice(hidden, None)
+        reads, rows = np.stack([p["att"][side], p["out"][side]]).astype(np.float32), np.array(x[part])
+        # A sigmoid is half a tangent of half its input.
+        scale = np.ones((3 * hidden, 1), np.float32)
+        scale[:2 * hidden] = 0.5
+        rows *= scale
+        u = (u * scale).astype(np.float32)
+        h, from_h, gates = np.zeros((hidden, n), np.float32), np.empty((3 * hidden, n), np.float32), np.empty((2 * hidden, n), np.float32)
+        new = np.empty((hidden, n), np.float32)
+        for t in order:
+            np.matmul(u, h, out=from_h)
+            np.add(rows[:2 * hidden, t:t + n], from_h[:2 * hidden], out=gates)
+            np.tanh(gates, out=gates)
+            gates *= 0.5
+            gates += 0.5
+            np.multiply(gates[hidden:], from_h[2 * hidden:], out=new)
+            new += rows[2 * hidden:, t:t + n]
+            np.tanh(new, out=new)
+            h -= new
+            h *= gates[:hidden]
+            h += new
+            halves[:, t] += reads @ h
+    e = halves[0] if real is None else np.where(real, halves[0], np.float32(-1e9))
+    e = np.exp(e - e.max(axis=0))
+    return (e * halves[1]).sum(axis=0) / e.sum(axis=0) + p["out_b"][0]
+
+
 def gate_inputs(word_ids: np.ndarray, gram_ids: np.ndarray, gram_first: np.ndarray, p: dict) -> np.ndarray:
     """Gate inputs (6 hidden, word) of distinct words, with one padding column at the end."""
     counts = np.diff(gram_first)

@@ -2,8 +2,8 @@
 
 Words are runs of letters, digits and non-ASCII bytes. A word's input is the mean of its character-trigram
 vectors plus, when it occurs in enough training documents, a vector of its own. All overlapping windows of
-``WINDOW`` words (a new one every ``STRIDE``) of the whole text are scored, whatever its length, and the
-highest window decides.
+``WINDOW`` words, one from every word on, of the whole text are scored, whatever its length, and the
+highest window decides. Only fitting takes windows ``STRIDE`` words apart; its cut is placed by all windows.
 
 The network is fitted in numpy on the driver, on a sample with a fixed bound: at most ``PER_CLASS`` labelled
 documents of each class, taken by hash order, of at most ``TRAIN_CHARS`` characters each. Scoring runs over
@@ -48,7 +48,7 @@ def _grams(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.n
 
 
 def _windows(first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Word index per step and window (step, window), -1 for padding, and the document of each window."""
+    """For fitting: word index per step and window (step, window), -1 for padding, and the document of each window."""
     lengths = np.diff(first)
     counts = np.where(lengths > 0, 1 + np.maximum(0, -(-(lengths - WINDOW) // STRIDE)), 0)
     owner = np.repeat(np.arange(len(lengths)), counts)
@@ -70,22 +70,29 @@ def _distinct_words(data: np.ndarray, offsets: np.ndarray, vocabulary: np.ndarra
 
 
 def score_texts(texts: pa.Array, model: dict) -> np.ndarray:
-    """Highest window logit of each text; -inf for texts without a word."""
+    """Highest window logit of each text, with a window from every word on; -inf for texts without a word."""
     out = np.full(len(texts), -np.inf)
     for row, data, offsets in text_blocks(texts):
         words, inverse, first, _ = _distinct_words(data, offsets, model["vocabulary"])
-        ids, owner = _windows(first)
-        if not len(owner):
+        lengths = np.diff(first)
+        if not lengths.any():
             continue
-        table = gru.gate_inputs(*words, model["net"])
-        inverse, rows = np.append(inverse, table.shape[1] - 1), np.ascontiguousarray(table.T)
-        best = np.empty(len(owner), np.float32)
-        for a in range(0, len(owner), BATCH_WINDOWS):
-            part = ids[:, a:a + BATCH_WINDOWS]
-            x = np.ascontiguousarray(np.take(rows, inverse[part], axis=0).transpose(0, 2, 1))
-            best[a:a + BATCH_WINDOWS] = gru.logits(x, part >= 0, model["net"])
-        heads = np.flatnonzero(np.diff(owner, prepend=-1))
-        out[row + owner[heads]] = np.maximum.reduceat(best, heads)
+        rows = np.ascontiguousarray(gru.gate_inputs(*words, model["net"]).T)
+        # Short texts are padded to one window. The windows of long ones are runs of neighbours in one list of words.
+        padded = np.where(lengths > 0, np.maximum(lengths, WINDOW), 0)
+        begin = np.cumsum(padded) - padded
+        list_of = np.full(padded.sum(), len(rows) - 1)
+        owner = np.repeat(np.arange(len(lengths)), lengths)
+        list_of[begin[owner] + np.arange(len(owner)) - first[owner]] = inverse
+        n, real = np.minimum(lengths, WINDOW), np.repeat(lengths >= WINDOW, padded)
+        best = np.empty(len(list_of) - WINDOW + 1, np.float32)
+        for a in range(0, len(best), BATCH_WINDOWS):
+            b = min(a + BATCH_WINDOWS, len(best))
+            x = np.ascontiguousarray(rows[list_of[a:b + WINDOW - 1]].T)
+            mask = None if real[a:b].all() else list_of[np.arange(a, b) + np.arange(WINDOW)[:, None]] < len(rows) - 1
+            best[a:b] = gru.sliding_logits(x, WINDOW, mask, model["net"])
+        for k in np.flatnonzero(n):
+            out[row + k] = best[begin[k]:begin[k] + padded[k] - WINDOW + 1].max()
     return out
 
 
@@ -154,18 +161,19 @@ def train(texts: list[str], labels: np.ndarray, seed: int = SEED, rounds: tuple[
         rank = np.arange(len(order)) - np.searchsorted(owner[order], owner[order])
         top = order[learnt[owner[order]] & ((rank == 0) | (rank < 3) & (labels[owner[order]] == 0))]
         epoch(np.concatenate([top, rng.choice(negative, min(len(negative), len(top)), replace=False)]))
-    z = all_logits()
     heads = np.flatnonzero(np.diff(owner, prepend=-1))
-    best, label = np.maximum.reduceat(z, heads), labels[owner[heads]]
+    label = labels[owner[heads]]
     unseen = ~learnt[owner[heads]]
-    if label[unseen].sum() >= 20 and (label[unseen] == 0).sum() >= 20:
-        best, label = best[unseen], label[unseen]
+    if label[unseen].sum() < 20 or (label[unseen] == 0).sum() < 20:
+        unseen[:] = True
+    fitted = {"net": net, "vocabulary": distinct[common]}
+    best, label = score_texts(pa.array([texts[i] for i in owner[heads][unseen]]), fitted), label[unseen]
     cuts = np.sort(best)
     cuts = (cuts[:-1] + cuts[1:]) / 2 if len(cuts) > 1 else cuts
     hits = np.array([(label[best >= c] > 0).sum() for c in cuts])
     f1 = 2 * hits / (np.array([(best >= c).sum() for c in cuts]) + (label > 0).sum())
     good = cuts[f1 >= f1.max() - 1e-12]
-    return {"net": net, "vocabulary": distinct[common], "cut": float((good.min() + good.max()) / 2)}
+    return fitted | {"cut": float((good.min() + good.max()) / 2)}
 
 
 def to_score(logit: np.ndarray, cut: float) -> np.ndarray:

@@ -156,6 +156,26 @@ def test_toxicity_learns_words_and_spellings(spark):
     assert toxicity.score_documents(docs, None).filter("toxicity <> 0").count() == 0
 
 
+def test_a_window_from_every_word():
+    """One passage, shifted through clean text, scores what its best window scores alone, wherever it lies."""
+    rng = np.random.default_rng(3)
+    net = gru.init(toxicity.DIM, toxicity.HIDDEN, 0, toxicity.GRAMS, 5)
+    model = {"net": net, "vocabulary": np.zeros(0, np.uint64)}
+    clean, passage = ["calm"] * 200, [f"bad{i}" for i in rng.integers(0, 99, 16)]
+    texts = [" ".join(clean[:k] + passage + clean[k:]) for k in range(40, 80)]
+    scores = toxicity.score_texts(pa.array(texts), model)
+    assert np.ptp(scores) < 1e-5
+    words = texts[0].split()
+    each = toxicity.score_texts(pa.array([" ".join(words[i:i + toxicity.WINDOW]) for i in range(len(words) - toxicity.WINDOW + 1)]), model)
+    assert abs(each.max() - scores[0]) < 1e-5
+    short, state = toxicity.score_texts(pa.array(["calm bad1", None, "", "calm " * 40]), model), toxicity._distinct_words
+    assert np.isinf(short[1:3]).all()
+    data = np.frombuffer(b"calm bad1", np.uint8)
+    known, inverse, _, _ = state(data, np.array([0, len(data)]), None)
+    x = gru.gate_inputs(*known, net)[:, inverse].T[:, :, None]
+    assert abs(gru.logits(np.ascontiguousarray(x), np.ones((2, 1), bool), net)[0] - short[0]) < 1e-5
+
+
 def test_windows_overlap_and_cover_every_word():
     for n in (1, 31, 32, 33, 56, 57, 1000):
         ids, owner = toxicity._windows(np.array([0, 0, n, n]))
