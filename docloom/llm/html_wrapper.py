@@ -1,35 +1,34 @@
 """Main text of pages by union-free wrapper inference: same-host token streams, aligned again and again.
 
 A page is a stream of tags and text slots. Its normal form folds repeated groups (``<p>#</p><p>#</p>`` becomes one
-group), with the longest folds found for every period up to ``PERIOD``. A host's wrapper starts as the normal
-form of one sample page and is aligned with the others: equal tokens stay, tokens missing on one side become
-optional, and slots whose text never changes over the sample are template text. What is left, outside navigation,
-forms and other furniture, are content slots. Every page of the host is then aligned with the wrapper and its
-content slots are read; furniture is recognised by element and class names on the page itself as well, so
-a page that no wrapper fits, or of a host without one, still gives its text.
-
-The wrapper is a model fitted on a bounded sample: ``SAMPLE`` pages per host, the least hashes of their ids.
-Extraction runs over every page and its whole html.
+group), for every period. A host's wrapper starts as the normal form of one page and is aligned with all others:
+equal tokens stay, tokens missing on one side become optional, and a slot keeps the texts that all pages have in
+it. Those are template text; every other text, of a slot that is fixed, optional or repeated, is content. Every page
+of the host is then aligned with the wrapper and its content slots are read. Element and class names are a check
+on what is left: navigation, forms and other furniture go, so a page that no wrapper fits still gives its text.
+
+Wrappers take every page of a host and its whole html; parts are merged in a tree, and copies of one page count once.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import json
 import re
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from docloom.llm.registry import query
 from docloom.llm.url_filter import host_of
 from docloom.staging import stage
 
-SAMPLE, SALTS, PERIOD, SAMPLE_CHARS = 12, 32, 8, 200_000
+SALTS, LEAST_PAGES, HELD_CHARS = 32, 3, 16_000_000
 
 # Element names and class words of what is not the article.
 _RAW = {"script", "style", "noscript", "template", "textarea", "title", "svg", "iframe", "select", "button", "object", "canvas"}
@@ -126,130 +125,177 @@ def tokens_of(page: str) -> tuple[list[str], list[str], list[bool], list[bool]]:
 def fold(tokens: list[str]) -> tuple[list[str], list[int]]:
     """Normal form: runs of a repeated group appear once. Also the place in it of every text slot, in order.
 
-    Shorter periods fold first, so groups of groups fold too; each pass is linear in the page.
+    Shorter periods fold first, so groups of groups fold too; any period up to half of the page is tried.
     """
     form, homes = list(tokens), [[i] for i in range(len(tokens))]
-    for period in range(1, PERIOD + 1):
+    codes: dict[str, int] = {}
+    ids = np.array([codes.setdefault(t, len(codes)) for t in form], dtype=np.int32)
+    period = 1
+    while 2 * period <= len(form):
         # A group repeats only where as many neighbours in a row equal those one period later.
-        if "1" * period not in "".join(["1" if a == b else "0" for a, b in zip(form, form[period:], strict=False)]):
-            continue
-        out, kept, i = [], [], 0
-        while i < len(form):
-            if len(out) >= period and form[i:i + period] == out[-period:] and (period > 1 or form[i] != "#"):
-                for k in range(period):
-                    kept[len(kept) - period + k].extend(homes[i + k])
-                i += period
-            else:
-                out.append(form[i])
-                kept.append(homes[i])
-                i += 1
-        form, homes = out, kept
+        equal = ids[:-period] == ids[period:]
+        gaps = np.flatnonzero(~equal) if np.count_nonzero(equal) >= period else None
+        if gaps is not None and np.diff(gaps, prepend=-1, append=len(equal)).max() > period:
+            out, kept, i = [], [], 0
+            while i < len(form):
+                if len(out) >= period and form[i:i + period] == out[-period:] and (period > 1 or form[i] != "#"):
+                    for k in range(period):
+                        kept[len(kept) - period + k].extend(homes[i + k])
+                    i += period
+                else:
+                    out.append(form[i])
+                    kept.append(homes[i])
+                    i += 1
+            form, homes = out, kept
+            ids = np.array([codes[t] for t in form], dtype=np.int32)
+        period += 1
     place = {token: k for k, members in enumerate(homes) for token in members}
     return form, [place[i] for i, token in enumerate(tokens) if token == "#"]
 
 
+def _common_lengths(x: list[str], y: list[str]) -> np.ndarray:
+    """Length of the longest common subsequence of ``x`` and every beginning of ``y``; a row of the table is the bits of one number."""
+    masks: dict[str, int] = {}
+    for j, token in enumerate(y):
+        masks[token] = masks.get(token, 0) | 1 << j
+    full = (1 << len(y)) - 1
+    row = full
+    for token in x:
+        hit = row & masks.get(token, 0)
+        row = (row + hit | row - hit) & full
+    bits = np.unpackbits(np.frombuffer(row.to_bytes(len(y) // 8 + 1, "little"), np.uint8), bitorder="little")[:len(y)]
+    return np.concatenate([[0], np.cumsum(bits == 0)])
+
+
 def align(a: list[str], b: list[str]) -> list[tuple[int, int]]:
-    """Pairs of equal tokens of a longest common subsequence; common ends first, then a table over the rest."""
-    head = 0
-    while head < len(a) and head < len(b) and a[head] == b[head]:
-        head += 1
-    tail = 0
-    while tail < len(a) - head and tail < len(b) - head and a[-1 - tail] == b[-1 - tail]:
-        tail += 1
-    x, y = a[head:len(a) - tail], b[head:len(b) - tail]
-    pairs = [(i, i) for i in range(head)]
-    if x and y and len(x) * len(y) <= 250_000:
-        best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
-        for i in range(len(x) - 1, -1, -1):
-            row, below = best[i], best[i + 1]
-            for j in range(len(y) - 1, -1, -1):
-                row[j] = below[j + 1] + 1 if x[i] == y[j] else max(below[j], row[j + 1])
-        i = j = 0
-        while i < len(x) and j < len(y):
-            if x[i] == y[j]:
-                pairs.append((head + i, head + j))
-                i, j = i + 1, j + 1
-            elif best[i + 1][j] >= best[i][j + 1]:
-                i += 1
-            else:
-                j += 1
-    return pairs + [(len(a) - tail + i, len(b) - tail + i) for i in range(tail)]
+    """Pairs of equal tokens of a longest common subsequence, in linear memory: common ends first, then one side is
+    halved and the other cut where both halves have most in common."""
+    pairs, todo = [], [(0, len(a), 0, len(b))]
+    while todo:
+        i, k, j, m = todo.pop()
+        while i < k and j < m and a[i] == b[j]:
+            pairs.append((i, j))
+            i, j = i + 1, j + 1
+        while i < k and j < m and a[k - 1] == b[m - 1]:
+            k, m = k - 1, m - 1
+            pairs.append((k, m))
+        if k - i == 1 and a[i] in b[j:m]:
+            pairs.append((i, b.index(a[i], j, m)))
+        elif k - i > 1 and j < m:
+            half = (i + k) // 2
+            both = _common_lengths(a[i:half], b[j:m]) + _common_lengths(a[half:k][::-1], b[j:m][::-1])[::-1]
+            cut = j + int(both.argmax())
+            todo += [(i, half, j, cut), (half, k, cut, m)]
+    return sorted(pairs)
+
+
+def wrapper_of(page: str) -> dict:
+    """The wrapper of one page: its normal form, and the texts of every slot. ``pages``: up to three page hashes."""
+    tokens, texts, _, _ = tokens_of(page)
+    form, places = fold(tokens)
+    common: list[list[str]] = [[] for _ in form]
+    for place, text in zip(places, texts, strict=True):
+        common[place].append(text)
+    return {"tokens": form, "optional": [False] * len(form), "common": [sorted(set(c)) for c in common], "pages": [hashlib.sha256(page.encode()).hexdigest()[:16]]}
+
+
+def merge(one: dict, two: dict) -> dict:
+    """The wrapper of the pages of both. Tokens of one side only become optional, and a slot keeps the texts that all pages have in it."""
+    a, b = one["tokens"], two["tokens"]
+    pairs = [(i, i) for i in range(len(a))] if a == b else align(a, b)
+    tokens, optional, common, i, j = [], [], [], 0, 0
+    for x, y in [*pairs, (len(a), len(b))]:
+        for side, at, end in ((a, i, x), (b, j, y)):
+            tokens += side[at:end]
+            optional += [True] * (end - at)
+            common += [[] for _ in range(end - at)]
+        if x < len(a):
+            tokens.append(a[x])
+            optional.append(one["optional"][x] or two["optional"][y])
+            common.append([] if optional[-1] else [t for t in one["common"][x] if t in set(two["common"][y])])
+        i, j = x + 1, y + 1
+    return {"tokens": tokens, "optional": optional, "common": common, "pages": sorted({*one["pages"], *two["pages"]})[:LEAST_PAGES]}
+
+
+def finished(wrapper: dict) -> dict:
+    """``fixed``: slots with template text, which are on every page and have a text that is there on every page."""
+    enough = len(wrapper["pages"]) >= LEAST_PAGES
+    return wrapper | {"fixed": [enough and not o and bool(c) for o, c in zip(wrapper["optional"], wrapper["common"], strict=True)]}
 
 
 def infer(pages: list[str]) -> dict:
-    """Wrapper of sample pages: tokens, which are optional, and which slots are template text."""
-    wrapper: list[str] = []
-    optional: list[bool] = []
-    slots: list[list[tuple[int, str]]] = []
-    for number, page in enumerate(pages):
-        tokens, texts, _, _ = tokens_of(page)
-        form, places = fold(tokens)
-        here: dict[int, list[str]] = {}
-        for place, text in zip(places, texts, strict=True):
-            here.setdefault(place, []).append(text)
-        pairs = align(wrapper, form) if number else []
-        merged, flags, kept, i, j = [], [], [], 0, 0
-        for a, b in [*pairs, (len(wrapper), len(form))]:
-            while i < a:  # on earlier pages only
-                merged.append(wrapper[i]), flags.append(True), kept.append(slots[i])
-                i += 1
-            while j < b:  # on this page only
-                merged.append(form[j]), flags.append(number > 0), kept.append([(number, t) for t in here.get(j, [])])
-                j += 1
-            if a < len(wrapper):
-                merged.append(wrapper[a]), flags.append(optional[a]), kept.append(slots[a] + [(number, t) for t in here.get(b, [])])
-                i, j = a + 1, b + 1
-        wrapper, optional, slots = merged, flags, kept
-    fixed = []
-    for k, token in enumerate(wrapper):
-        seen = {n for n, _ in slots[k]}
-        fixed.append(token == "#" and len(pages) >= 3 and len(seen) == len(pages) and len({t for _, t in slots[k]}) == 1)
-    return {"tokens": wrapper, "optional": optional, "fixed": fixed}
+    """Wrapper of pages: tokens, which are optional, which slots have template text (``fixed``) and which (``common``)."""
+    return finished(reduce(merge, map(wrapper_of, pages)))
 
 
 def extract(page: str, wrapper: dict | None, memory: dict | None = None) -> str:
-    """Content text of a page. Slots that the wrapper knows as template text, and furniture, are left out; when the
-    page has an article element with text, only text inside counts."""
+    """Content text of a page: the slots that the wrapper does not know as template text, inside an article and outside.
+    Names are a check on what is left: furniture is left out, and with content in an article only that counts."""
     tokens, texts, furniture, article = tokens_of(page)
     if not texts:
         return ""
     form, places = fold(tokens)
-    fixed: set[int] = set()
+    template: dict[int, set[str]] = {}
     if wrapper:
         key = tuple(form)
         if memory is None or key not in memory:
-            known = {b for a, b in align(wrapper["tokens"], form) if wrapper["fixed"][a]}
+            template = {b: set(wrapper["common"][a]) for a, b in align(wrapper["tokens"], form) if wrapper["fixed"][a]}
             if memory is not None:
                 if len(memory) > 5000:
                     memory.clear()
-                memory[key] = known
+                memory[key] = template
         else:
-            known = memory[key]
-        fixed = known
-    usable = [not f for f in furniture]
+            template = memory[key]
+    usable = [not f and text not in template.get(place, ()) for f, text, place in zip(furniture, texts, places, strict=True)]
     inside = any(u and a for u, a in zip(usable, article, strict=True))
-    return " ".join(text for text, use, place, within in zip(texts, usable, places, article, strict=True)
-                    if use and (place not in fixed or within) and (within or not inside))
+    return " ".join(text for text, use, within in zip(texts, usable, article, strict=True) if use and (within or not inside))
+
+
+def _wrap_tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One wrapper per host of a task, or several when they grow over ``HELD_CHARS`` together."""
+    found: dict[str, dict] = {}
+    held = 0
+
+    def flush() -> pa.RecordBatch:
+        out = pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array(map(json.dumps, found.values()), pa.string())], ["host", "wrapper"])
+        found.clear()
+        return out
+
+    for batch in batches:
+        for host, page in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            page = page.as_py()
+            one = wrapper_of(page)
+            if host in found:
+                found[host] = merge(found[host], one)
+            else:
+                found[host] = one
+                held += len(page)
+            if held > HELD_CHARS:
+                yield flush()
+                held = 0
+    yield flush()
+
+
+def _merge_host(table: pa.Table) -> pa.Table:
+    wrapper = reduce(merge, map(json.loads, sorted(table["wrapper"].to_pylist())))
+    return pa.table({"host": table["host"][:1], "wrapper": pa.array([json.dumps(wrapper)])})
 
 
-def _wrap_host(table: pa.Table) -> pa.Table:
-    table = table.sort_by("rank")
-    return pa.table({"host": table["host"][:1], "wrapper": pa.array([json.dumps(infer(table["html"].to_pylist()))])})
+def _finish_host(table: pa.Table) -> pa.Table:
+    merged = _merge_host(table)
+    return pa.table({"host": merged["host"], "wrapper": pa.array([json.dumps(finished(json.loads(merged["wrapper"][0].as_py())))])})
 
 
 def infer_wrappers(pages: DataFrame) -> DataFrame:
-    """(host, wrapper) from the sample pages of every host. ``pages``: page_id, host, html.
+    """(host, wrapper) from all pages of every host. ``pages``: host, html.
 
-    The sample is picked on narrow rows, in two steps so that a hot host never meets in one task; pages over
-    ``SAMPLE_CHARS`` characters and rows without a page_id are not sampled.
+    Pages are merged where they are read; what tasks found meets in salted groups of a host first, so that a hot
+    host never meets in one task. NULL and empty html take no part.
     """
-    rows = pages.filter(F.col("page_id").isNotNull() & (F.length("html") <= SAMPLE_CHARS)).select("page_id", "host", F.xxhash64("page_id").alias("h"))
-    for keys in (["host", F.pmod("h", F.lit(SALTS))], ["host"]):
-        rank = F.row_number().over(Window.partitionBy(*keys).orderBy("h", "page_id"))
-        rows = rows.withColumn("rank", rank).filter(F.col("rank") <= SAMPLE).select("page_id", "host", "h", "rank")
-    picked = stage(rows.dropDuplicates(["page_id"]).select(F.col("page_id").alias("_p"), F.col("host").alias("_h"), "rank"), "html-sample")
-    sample = pages.join(picked, (F.col("page_id") == F.col("_p")) & (F.col("host") == F.col("_h"))).dropDuplicates(["page_id"]).select("host", "rank", "html")
-    return stage(sample.groupBy("host").applyInArrow(_wrap_host, "host string, wrapper string"), "html-wrappers")
+    schema = "host string, wrapper string"
+    parts = stage(pages.filter(F.length("html") > 0).select("host", "html").mapInArrow(_wrap_tasks, schema), "html-parts")
+    salted = parts.groupBy("host", F.pmod(F.xxhash64("wrapper"), F.lit(SALTS))).applyInArrow(_merge_host, schema)
+    return stage(salted.groupBy("host").applyInArrow(_finish_host, schema), "html-wrappers")
 
 
 def _extract_tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -274,7 +320,7 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     table gives an empty one.
     """
     keyed = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
-    wrappers = infer_wrappers(keyed.select("page_id", "host", "html")).withColumnRenamed("host", "_h")
+    wrappers = infer_wrappers(keyed.select("host", "html")).withColumnRenamed("host", "_h")
     joined = keyed.join(wrappers, F.col("host") == F.col("_h"), "left").select("page_id", "url", "html", "wrapper")
     text = joined.mapInArrow(_extract_tasks, "page_id long, url string, text string")
     return text.withColumn("n_chars", F.length("text").cast("long"))

@@ -208,6 +208,40 @@ def test_wrapper_finds_template_text_options_and_repeats():
     assert html_wrapper.fold(["ul", "li", "#", "/li", "li", "#", "/li", "/ul"])[0] == ["ul", "li", "#", "/li", "/ul"]
 
 
+def test_the_wrapper_decides_inside_an_article():
+    page = "<body><article><h1>{0}</h1><p>Text {0}</p><p>All rights kept</p><div>Printed by us</div></article></body>"
+    ours = html_wrapper.infer([page.format(x) for x in ("one", "two", "three")])
+    other = html_wrapper.infer([page.format(x).replace("kept", x).replace("by us", x) for x in ("one", "two", "three")])
+    assert html_wrapper.extract(page.format("four"), ours) == "four Text four"
+    assert html_wrapper.extract(page.format("four"), other) == "four Text four All rights kept Printed by us"
+    copies = html_wrapper.infer([page.format("one")] * 5)  # nothing is known of what varies
+    assert html_wrapper.extract(page.format("one"), copies) == html_wrapper.extract(page.format("one"), None)
+
+
+def test_alignment_and_folding_of_any_size(spark):
+    rng = random.Random(9)
+    for _ in range(40):
+        a, b = ([rng.choice("abcd") for _ in range(rng.randrange(30))] for _ in range(2))
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
+        pairs = html_wrapper.align(a, b)
+        assert len(pairs) == best[-1][-1] and all(a[i] == b[j] for i, j in pairs)
+        assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(pairs, pairs[1:], strict=False))
+
+    def page(k):
+        rows = [f"<div class='x{k}y{i}'>{k} {i}</div>".translate(str.maketrans("0123456789", "abcdefghij")) for i in range(800)]
+        return f"<body><h4>top {k}</h4>" + "".join(rows[:400]) + "<h5>Printed by us</h5>" + "".join(rows[400:]) + "</body>"
+
+    pages = [page(k) for k in range(6)]
+    rows = spark.createDataFrame([(k, f"https://big.example/{k}", p) for k, p in enumerate(pages)], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_wrapper.extract_pages(rows.repartition(5)).collect()}
+    assert len(got) == 6 and not any("Printed" in t for t in got.values()) and all(len(got[k].split()) == 1602 for k in got)
+    group = [f"t{i}" for i in range(30)]
+    assert html_wrapper.fold(group * 4)[0] == group
+
+
 def test_url_aliases(spark):
     link = '<link rel="canonical" href="{}">'
     jump = '<meta http-equiv="refresh" content="0; url={}">'
