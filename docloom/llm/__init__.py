@@ -1 +1 @@
-"""Training-data operators: ten dealt methods and their registered queries. Nothing else in the library imports this package."""
+"""Training-data operators: thirteen dealt methods and their registered queries. Nothing else in the library imports this package."""

@@ -18,7 +18,33 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _CODE = np.random.default_rng(20240).integers(0, 2**63, 256).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE, _INVERSE = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 2**64)
-_POWERS = {}
+
+
+class _Powers:
+    """Powers of the base and of its inverse, kept between calls. Pickles empty, so no task function carries them."""
+
+    def __init__(self):
+        self.kept = {}
+
+    def __reduce__(self):
+        return type(self), ()
+
+    def up_to(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        size = max(BLOCK_BYTES, n) + 1
+        found = self.kept.get("both", ((), ()))
+        if len(found[0]) < n + 1:
+            found = []
+            for base in (_BASE, _INVERSE):
+                steps = np.full(size, base, dtype=np.uint64)
+                steps[0] = 1
+                found.append(np.cumprod(steps))
+            if n <= 2 * BLOCK_BYTES:  # those of one very long word are not kept
+                self.kept["both"] = tuple(found)
+        return found[0], found[1]
+
+
+_POWERS = _Powers()
+_powers = _POWERS.up_to
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -30,16 +56,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = max(BLOCK_BYTES, n) + 1
-    if len(_POWERS.get("up", ())) < n + 1:
-        for name, base in (("up", _BASE), ("down", _INVERSE)):
-            steps = np.full(size, base, dtype=np.uint64)
-            steps[0] = 1
-            _POWERS[name] = np.cumprod(steps)
-    return _POWERS["up"], _POWERS["down"]
-
-
 def text_blocks(texts: pa.Array):
     """(first row, bytes, offsets) for blocks of rows; NULL counts as an empty text."""
     texts = texts.cast(pa.large_string()) if not pa.types.is_large_string(texts.type) else texts
@@ -74,8 +90,24 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = _SP
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: np.ndarray = _LOWER) -> np.ndarray:
-    """One 64-bit hash per byte span, from prefix sums: no loop over spans or characters."""
-    up, down = _powers(len(data))
+    """One 64-bit hash per byte span, from prefix sums: no loop over spans or characters.
+
+    Data longer than a block is worked on in stretches, each as long as the spans that begin in it, so the
+    sums and powers in memory stay as long as a block unless one span is longer.
+    """
+    if len(data) <= 2 * BLOCK_BYTES:
+        return _span_hashes(data, starts, ends, fold)
+    out, stretch = np.empty(len(starts), dtype=np.uint64), starts // BLOCK_BYTES
+    order = np.argsort(stretch, kind="stable")
+    for part in np.split(order, np.flatnonzero(np.diff(stretch[order])) + 1):
+        if len(part):
+            low, high = starts[part].min(), ends[part].max()
+            out[part] = _span_hashes(data[low:high], starts[part] - low, ends[part] - low, fold)
+    return out
+
+
+def _span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: np.ndarray) -> np.ndarray:
+    up, down = _POWERS.up_to(len(data))
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum(_CODE[fold[data]] * up[:len(data)], out=sums[1:])
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
