@@ -57,17 +57,21 @@ def upsert_search_rows(
     )
 
 
+def gone_chunks(sync: DataFrame, chunks: DataFrame, superseded: DataFrame | None = None) -> DataFrame:
+    """Ids (staged) of search rows whose chunk is gone or belongs to a superseded document version."""
+    live = chunks.select("chunk_id", "metadata_id")
+    if superseded is not None:
+        live = live.join(superseded.select("metadata_id"), "metadata_id", "left_anti")
+    return stage(sync.select("chunk_id").join(live.select("chunk_id"), "chunk_id", "left_anti"), "gone")
+
+
 def prune(sync: DataFrame, chunks: DataFrame, superseded: DataFrame | None = None) -> DataFrame:
     """Drop search rows whose chunk is gone or belongs to a superseded document version.
 
     Ids alone decide; the ids to drop are staged, so Spark knows how few they are and can leave the
     wide rows where they lie.
     """
-    live = chunks.select("chunk_id", "metadata_id")
-    if superseded is not None:
-        live = live.join(superseded.select("metadata_id"), "metadata_id", "left_anti")
-    gone = stage(sync.select("chunk_id").join(live.select("chunk_id"), "chunk_id", "left_anti"), "gone")
-    return sync.join(gone, "chunk_id", "left_anti")
+    return sync.join(gone_chunks(sync, chunks, superseded), "chunk_id", "left_anti")
 
 
 def latest_per_chunk(changes: DataFrame, version: str = "audit__updated_date", gone: str = "gone") -> DataFrame:

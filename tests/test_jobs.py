@@ -4,21 +4,22 @@ import pytest
 from conftest import rows
 from docloom.functions.text import page_array
 from docloom.operators import corpus, stages
-from docloom.operators.merge import publish
 from docloom.plans import fixtures as fx
 from docloom.plans import jobs
 from docloom.schemas import EXPORT_FIELDS
-from docloom.sources.writers import create_tables
 from docloom.staging import scratch_path
 from pyspark.sql import functions as F
 
 
-@pytest.fixture(scope="module", params=[None, 4], ids=["plain", "bucketed"])
+@pytest.fixture(scope="module", params=[(None, None), (4, None), (None, 20)], ids=["plain", "bucketed", "parts"])
 def built(spark, small, request):
-    name = f"jobs_{request.param or 0}"
-    spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_path(spark, name)}'")
-    create_tables(spark, name, buckets=request.param)
-    to = jobs.Corpus(spark, name, buckets=request.param, as_of=F.lit(fx.NOW).cast("timestamp"))
+    buckets, width = request.param
+    name = f"jobs_{buckets or 0}_{width or 0}"
+    to = jobs.Corpus(spark, name, buckets=buckets, as_of=F.lit(fx.NOW).cast("timestamp"), part_width=width,
+                     root=scratch_path(spark, "parts") if width else None)
+    if width is None:
+        spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_path(spark, name)}'")
+    to.create()
     export = fx.export(fx.metadata(spark, small))
     export = export.select("*", *[F.lit(None).cast("string").alias(f"{n}") for n in EXPORT_FIELDS if n not in export.columns])
     root = scratch_path(spark, "landed").replace("file:", "")
@@ -89,8 +90,7 @@ def test_requeued_documents_are_chunked_again_under_the_same_ids(built, spark):
     ids = rows(to.read("docs_embeddings"), "chunk_id")
     table = rows(to.read("docs_embeddings_sync"), "chunk_id", "chunk_text")
     some = F.col("chunking_status") == "COMPLETED"
-    publish_to = (4, "metadata_id") if to.buckets else None
-    publish(stages.requeue(to.read("docs_metadata"), "chunking", some), f"{to.database}.docs_metadata", bucket=publish_to)
+    to.write(stages.requeue(to.read("docs_metadata"), "chunking", some), "docs_metadata")
     jobs.chunk(to)
     assert to.read("docs_embeddings").filter("embedding_status IS NOT NULL").count() == 0
     jobs.embed(to, lambda chunks: corpus.embed_hashing(chunks, 16))
@@ -98,3 +98,22 @@ def test_requeued_documents_are_chunked_again_under_the_same_ids(built, spark):
     assert rows(to.read("docs_embeddings"), "chunk_id") == ids
     assert rows(to.read("docs_embeddings_sync"), "chunk_id", "chunk_text") == table
     assert to.read("docs_metadata").filter("index_status = 'COMPLETED'").count() == 120
+
+
+def test_a_small_batch_writes_only_the_parts_it_touches(built, spark):
+    to = built[0]
+    if to.part_width is None:
+        return
+    tables = ("docs_metadata", "docs_pages", "docs_embeddings", "docs_embeddings_sync")
+    some = to.read("docs_metadata").filter("index_status = 'COMPLETED' AND metadata_id < 30").select("metadata_id").limit(1).collect()[0].metadata_id
+    to.update("docs_metadata", spark.createDataFrame([(some,)], "metadata_id long"),
+              lambda known: stages.requeue(known, "chunking", F.col("metadata_id") == some))
+    before = {t: to.versioned(t).folders(to.versioned(t).latest()) for t in tables}
+    jobs.chunk(to)
+    jobs.embed(to, lambda chunks: corpus.embed_hashing(chunks, 16))
+    jobs.index(to)
+    after = {t: to.versioned(t).folders(to.versioned(t).latest()) for t in tables}
+    differing = {t: [p for p in after[t].keys() | before[t].keys() if after[t].get(p) != before[t].get(p)] for t in tables}
+    assert {t: len(p) for t, p in differing.items()} == {"docs_metadata": 1, "docs_pages": 0, "docs_embeddings": 1, "docs_embeddings_sync": 1}
+    assert len(before["docs_metadata"]) == 9
+    assert to.read("docs_metadata").filter("index_status = 'COMPLETED'").count() == 120
