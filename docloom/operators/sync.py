@@ -92,7 +92,8 @@ def latest_per_chunk(changes: DataFrame, version: str = "audit__updated_date", g
 def compact_log(log: DataFrame, path: str, version: str = "audit__updated_date", gone: str = "gone") -> DataFrame:
     """Write the present state of ``log`` as a new log under ``path``: one row per chunk, no tombstones.
 
-    Compact only what every reader has taken; later changes go on in the new log.
+    The result is a table for readers, not a folder a stream can go on writing to; ``streaming.sync_log`` has logs
+    that are synced and compacted in turn.
     """
     latest = latest_per_chunk(log, version, gone).withColumn(gone, F.lit(False)).select(*log.columns)
     latest.write.parquet(path)

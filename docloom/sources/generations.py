@@ -115,7 +115,7 @@ class VersionedTable:
         """The change feed: (version, key, change_type, columns) of every version above ``after`` up to ``until``.
 
         Compares neighbouring versions, and of those only the parts whose folder differs. ``key`` names the
-        column that is unique within a version.
+        column that is unique within a version; rows in which it is NULL take no part.
         """
         numbers = [n for n, _ in self.versions() if after <= n <= until]
         if not numbers or numbers[0] != after or numbers[-1] != until:

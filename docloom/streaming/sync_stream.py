@@ -20,21 +20,25 @@ def change_stream(
     return reader.parquet(path)
 
 
+def as_log(changes: DataFrame, columns: Sequence[str], status: str = "embedding_status", change: str = "change_type") -> DataFrame:
+    """Changes as rows of a log. Deleted chunks, and chunks that lost their vector, become tombstones (``gone``)."""
+    gone = ~F.col(status).eqNullSafe(F.lit(COMPLETED))
+    if change in changes.columns:
+        gone = gone | F.col(change).eqNullSafe(F.lit("delete"))
+    return changes.select(*columns, gone.alias("gone"))
+
+
 def sync_once(
     changes: DataFrame, output: str, checkpoint: str, columns: Sequence[str], status: str = "embedding_status",
     change: str = "change_type",
 ) -> None:
     """Take every change not yet taken, then stop. The checkpoint makes reruns add nothing twice.
 
-    Deleted chunks, and chunks that lost their vector, enter the log as tombstones (``gone``), so that
-    readers drop what they had. Stateless per row: it scales with the input; readers collapse the log.
+    Tombstones let readers drop what they had. Stateless per row: it scales with the input; readers collapse
+    the log. The folder belongs to the stream: a log that is to be compacted is a ``sync_log.SyncLog``.
     """
-    gone = ~F.col(status).eqNullSafe(F.lit(COMPLETED))
-    if change in changes.columns:
-        gone = gone | F.col(change).eqNullSafe(F.lit("delete"))
-    projected = changes.select(*columns, gone.alias("gone"))
     query = (
-        projected.writeStream.format("parquet")
+        as_log(changes, columns, status, change).writeStream.format("parquet")
         .option("checkpointLocation", checkpoint)
         .option("path", output)
         .outputMode("append")

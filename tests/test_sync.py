@@ -1,8 +1,11 @@
+import pytest
 from conftest import rows
 from docloom.operators import sync
 from docloom.staging import scratch_path
 from docloom.streaming import sync_stream
+from docloom.streaming.sync_log import SyncLog
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SCHEMA = "chunk_id bigint, chunk_text string, embedding_status string, audit__updated_date timestamp"
 
@@ -85,3 +88,41 @@ def test_failed_and_deleted_chunks_leave_the_state(spark):
     assert states == [[(1, "a"), (2, "b"), (3, "c")], [], [(2, "b3")]]
     compacted = sync.compact_log(spark.read.parquet(out), scratch_path(spark, "compacted"))
     assert rows(compacted, "chunk_id", "chunk_text", "gone") == [(2, "b3", False)]
+
+
+def test_sync_compact_sync(spark):
+    feed = scratch_path(spark, "feed")
+    kept = SyncLog(spark, scratch_path(spark, "log"), T.StructType.fromDDL("chunk_id bigint, chunk_text string, audit__updated_date timestamp"))
+    assert kept.read().count() == 0 and kept.compacted() == (0, None)
+    loads = [[(1, "a", "COMPLETED", 1), (2, "b", "COMPLETED", 1), (3, "c", "COMPLETED", 1)], [(1, "a2", "COMPLETED", 2), (2, "b", "FAILED", 2)],
+             [(2, "b3", "COMPLETED", 3), (4, "d", "COMPLETED", 3)], [(3, "c", "FAILED", 4), (1, "old", "COMPLETED", 1)]]
+    schema = log(spark, loads[0]).schema
+    sync_now = lambda: kept.sync(sync_stream.change_stream(spark, feed, schema, 1))
+    for n, load in enumerate(loads):
+        log(spark, load).write.mode("append").parquet(feed)
+        sync_now()
+        sync_now()
+        taken = log(spark, [r for part in loads[:n + 1] for r in part])
+        want = rows(sync.latest_per_chunk(sync_stream.as_log(taken, schema.names[:2] + schema.names[3:])))
+        assert rows(kept.read()) == want
+        if n in (1, 2):
+            assert kept.compact() == n
+            assert rows(kept.read()) == want and rows(kept.changes(), "chunk_id", "audit__updated_date", "chunk_text", "gone") == [(*r, False) for r in want]
+    assert rows(kept.read(), "chunk_id", "chunk_text") == [(1, "a2"), (2, "b3"), (4, "d")]
+    # Of the log, readers open the generation after the last compaction only.
+    assert kept.changes().count() == 4 + 2 and [g for g, _ in kept.bases()] == [1, 2]
+
+
+def test_a_compaction_that_breaks_off_changes_nothing(spark, monkeypatch):
+    feed = scratch_path(spark, "feed")
+    kept = SyncLog(spark, scratch_path(spark, "log"), T.StructType.fromDDL("chunk_id bigint, chunk_text string, audit__updated_date timestamp"))
+    first = log(spark, [(1, "a", "COMPLETED", 1), (2, "b", "FAILED", 1)])
+    first.write.parquet(feed)
+    kept.sync(sync_stream.change_stream(spark, feed, first.schema))
+    before = rows(kept.read())
+    monkeypatch.setattr(type(spark), "createDataFrame", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        kept.compact()
+    monkeypatch.undo()
+    assert rows(kept.read()) == before and kept.compacted() == (0, None)
+    assert kept.compact() == 1 and rows(kept.read()) == before
