@@ -17,7 +17,7 @@ import html as entities
 import json
 import re
 from collections.abc import Iterator
-from functools import lru_cache, reduce
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -42,15 +42,38 @@ _WORDS = re.compile(r"(?:^|[\s_-])(?:ad|ads|adbox|advert\w*|adverts|sponsor\w*|p
                     r"comments?|commentlist|replies|reply|disqus|respond|footer|header|masthead|toolbar|widget|pagination|pager|skip|hidden|legal|copyright)(?:$|[\s_-])", re.I)
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<[!?][^>]*>", re.S)
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
+# Attributes in order, values and all, so that a word inside a value or a longer name is never taken for a name.
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _RAW_END = {name: re.compile(rf"</{name}\s*>", re.I) for name in _RAW}
 _CLOSES_P = {"p", "div", "article", "section", "h1", "h2", "h3", "h4", "h5", "h6", "ul", "ol", "li", "table", "blockquote", "pre", "footer", "header", "nav", "aside", "form", "main", "figure"}
 
 
-@lru_cache(maxsize=4096)
-def _mark(name: str, attributes: str) -> tuple[str, bool]:
-    """(token of the tag, whether the element is furniture)."""
-    found = {k.lower(): a or b or c for k, a, b, c in _ATTRIBUTE.findall(attributes)} if attributes.strip() else {}
+class _Marks:
+    """Remembers what tags mean. Pickles empty: a cache made by ``functools`` is pickled by name and needs the package in workers."""
+
+    def __init__(self):
+        self.known: dict[tuple[str, str], tuple[str, bool]] = {}
+
+    def __reduce__(self):
+        return type(self), ()
+
+    def __call__(self, name: str, attributes: str) -> tuple[str, bool]:
+        """(token of the tag, whether the element is furniture)."""
+        key = (name, attributes)
+        if key not in self.known:
+            if len(self.known) >= 4096:
+                self.known.clear()
+            self.known[key] = _read_tag(name, attributes)
+        return self.known[key]
+
+
+_mark = _Marks()
+
+
+def _read_tag(name: str, attributes: str) -> tuple[str, bool]:
+    found: dict[str, str] = {}
+    for k, a, b, c in _ATTRIBUTE.findall(attributes):
+        found.setdefault(k.lower(), a or b or c)
     label = " ".join(sorted(re.sub(r"\d+", "0", found.get("class", "")).split()))
     bad = name in _FURNITURE or found.get("role", "").lower() in _ROLES or "hidden" in found or found.get("aria-hidden") == "true"
     bad = bad or name not in ("html", "body", "article", "main") and bool(_WORDS.search(found.get("class", "")) or _WORDS.search(found.get("id", "")))

@@ -37,11 +37,11 @@ class Rule:
 
 # The first three rules and their order are given; a match of 'assign' may be too short and is then dropped.
 _ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
-# A private key runs to its END line, or else over the lines of its header and the key-like lines behind it. Loops stay
-# over single characters or are counted, so long texts need no deep stack; RE2 reads the pattern as well.
+# A private key runs to its END line, or else over the lines of its header and the key-like lines behind it. Loops are over
+# single characters, counted, or possessive (``*+``, which Java runs without a deeper stack), so keys may have any length.
 _BREAK = r"""[\x20\t\r\n\\"'>|#*,;+]+"""
 _PEM = (r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----(?:[^-]*(?:-{1,4}[^-]+){0,100}-----END [A-Z ]{0,40}PRIVATE KEY-----"
-        rf"|(?:{_BREAK}(?:Proc-Type|DEK-Info):[^\r\n]*){{0,4}}(?:{_BREAK}[A-Za-z0-9+/=]{{20,}})*"
+        rf"|(?:{_BREAK}(?:Proc-Type|DEK-Info):[^\r\n]*){{0,4}}(?:{_BREAK}[A-Za-z0-9+/=]{{20,}})*+"
         rf"(?:{_BREAK}[A-Za-z0-9+/]+={{1,2}}|[\r\n]+[A-Za-z0-9+/]+[\x20\t]*(?:\r?\n|$))?)")
 RULES = (
     Rule("assign", _ASSIGN, r"""(?i)(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]""", 2, 8),
@@ -135,7 +135,8 @@ def redact(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
 
 def _oracle() -> str:
     def found(rule: Rule) -> str:
-        pattern = rule.pattern.replace("(?<![0-9a-f])", "").replace("'", "''")
+        # RE2 knows neither look-behind nor possessive loops; what follows them here makes both the same without.
+        pattern = rule.pattern.replace("(?<![0-9a-f])", "").replace(")*+", ")*").replace("'", "''")
         long = f"length(regexp_extract(m[i], '{pattern}', {rule.group})) >= {rule.least}"
         return (f"SELECT doc_id, '{rule.name}' AS rule, {[r.name for r in RULES].index(rule.name)} AS place, unnest(list_filter(list_transform("
                 f"range(1, len(m) + 1), lambda i: {{'s': list_sum(list_transform(g[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i-1], "
