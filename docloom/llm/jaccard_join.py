@@ -18,6 +18,11 @@ first pivots would leave nearly all of them in one region. The join therefore ha
 
 Distances are exact, from the whole shingle sets. Links are chosen so that components are exact: pairs that
 are already joined through a pivot are not measured again. Groups of equal sets are one node.
+
+Large groups of near copies share many shingles and would meet in each of their regions. So a few rounds come first in
+which every set picks one of its regions by hash and is measured against one pivot of it, a pair per set. After these
+and after every round of the recursion the links so far are joined to components: a region whose members are all of
+one component is closed, and a region with few members outside its largest component compares just those.
 """
 
 from __future__ import annotations
@@ -33,13 +38,15 @@ from pyspark.sql import functions as F
 from docloom.llm.graphs import bit_filter, connected_components, may_contain
 from docloom.llm.registry import query
 from docloom.llm.wordhash import mix, shingle_sets
-from docloom.staging import stage
+from docloom.staging import stage, temporary
 
 SHINGLE, PERCENT = 5, 75
 SKETCH_CELLS, SKETCH_ROWS, SKETCH_CHUNK, SKETCH_FAN = 1 << 21, 2, 1 << 17, 512
 REGION_BITS = 1 << 25
 # By depth of the recursion: deep regions are few, so they may compare more pairs and take more pivots at once.
 LEAF_PAIRS, PIVOTS = (10, 160, 10_000), (4, 16, 64)
+FIRST_ROUNDS = 3
+FEW = (8, 16, 64)  # a region with so many members at most outside its largest component is compared directly, by depth
 ROWS_OUT = 2000
 
 
@@ -130,15 +137,19 @@ def _home_tasks(classes: np.ndarray, size: int, percent: int):
 
 
 def _set_tasks(wanted: np.ndarray, size: int):
+    """Shingle sets of the texts whose hash passes the filter, each once per task."""
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done = np.zeros(0, dtype=np.int64)
         for batch in batches:
+            hashes = batch.column(1).to_numpy()
+            _, first = np.unique(hashes, return_index=True)
+            first = np.sort(first[may_contain(wanted, hashes[first].view(np.uint64)) & ~np.isin(hashes[first], done)])
+            done = np.concatenate([done, hashes[first]])
             keys, found = [], []
-            for _, shingles in shingle_sets(batch.column(0), size):
+            for _, shingles in shingle_sets(batch.column(0).take(pa.array(first)), size):
                 if len(shingles):
-                    key = np.array([_key(shingles)], dtype=np.int64)
-                    if may_contain(wanted, key.view(np.uint64))[0]:
-                        keys.append(int(key[0]))
-                        found.append(shingles.tobytes())
+                    keys.append(_key(shingles))
+                    found.append(shingles.tobytes())
                 if len(keys) == 500:
                     yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(found, pa.binary())], ["key", "shingles"])
                     keys, found = [], []
@@ -207,17 +218,21 @@ def _regions(homes: DataFrame) -> DataFrame:
 
 
 class _Sets:
-    """Whole shingle sets by key, read from the texts when first needed and staged; a round adds what is new."""
+    """Whole shingle sets by key, read from the texts when first needed and staged; a round adds what is new.
+
+    ``texts``: (key, text_key), one text per set. Only texts whose hash passes a filter are cut into words again.
+    """
 
-    def __init__(self, docs: DataFrame, size: int):
-        self.docs, self.size, self.parts = docs, size, []
+    def __init__(self, docs: DataFrame, texts: DataFrame, size: int):
+        self.docs, self.texts, self.size, self.parts = docs, texts, size, []
 
     def of(self, keys: DataFrame) -> DataFrame:
         for part in self.parts:
             keys = keys.join(part.select("key"), "key", "left_anti")
         keys = stage(keys, "jj-wanted")
         if not keys.isEmpty() or not self.parts:
-            found = self.docs.select("text").mapInArrow(_set_tasks(bit_filter(keys, "key"), self.size), "key long, shingles binary")
+            wanted = bit_filter(self.texts.join(keys, "key", "left_semi"), "text_key", REGION_BITS)
+            found = self.docs.select("text", "text_key").mapInArrow(_set_tasks(wanted, self.size), "key long, shingles binary")
             self.parts.append(stage(found.join(keys, "key", "left_semi").dropDuplicates(["key"]), "jj-sets"))
         out = self.parts[0]
         for part in self.parts[1:]:
@@ -246,49 +261,90 @@ def _distances(pairs: DataFrame, firsts: DataFrame, sets: _Sets, percent: int) -
             .union(pairs.filter("NOT near").select("x", "y", F.lit(False), 1 - F.least("nx", "ny") / F.greatest("nx", "ny"))))
 
 
+def _ordered(pairs: DataFrame) -> DataFrame:
+    """(x, y, nx, ny) with x below y, from (key, n, other, on)."""
+    first = F.col("key") < F.col("other")
+    return pairs.select(F.least("key", "other").alias("x"), F.greatest("key", "other").alias("y"),
+                        F.when(first, F.col("n")).otherwise(F.col("on")).alias("nx"), F.when(first, F.col("on")).otherwise(F.col("n")).alias("ny"))
+
+
+def _open_regions(regions: DataFrame, links: DataFrame | None) -> DataFrame:
+    """Regions whose members are of several components, with the component of every member; staged."""
+    if links is None or links.isEmpty():
+        known = regions.withColumn("comp", F.col("key"))
+    else:
+        known = regions.join(connected_components(links), F.col("key") == F.col("node"), "left").withColumn("comp", F.coalesce("root", "key")).drop("node", "root")
+    mixed = stage(known.groupBy(F.col("region").alias("r")).agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high").select("r"), "jj-mixed")
+    return stage(known.join(mixed, F.col("region") == F.col("r"), "left_semi").select("region", "key", "n", "side", "comp"), "jj-regions")
+
+
+def _all(links: list[DataFrame]) -> DataFrame | None:
+    out = None
+    for part in links:
+        out = part if out is None else out.union(part)
+    return out
+
+
+def _first_links(regions: DataFrame, links: list[DataFrame], firsts: DataFrame, sets: _Sets, percent: int) -> DataFrame:
+    """A few rounds of one pair per set; adds to ``links`` and returns the regions that are still open."""
+    spark = regions.sparkSession
+    for turn in range(FIRST_ROUNDS):
+        with temporary(spark) as keep:
+            picked = regions.groupBy("key", "comp").agg(F.min(F.struct(F.xxhash64("region", F.lit(turn)).alias("h"), "region", "n")).alias("p"))
+            picked = stage(picked.select("key", "comp", F.col("p.region").alias("region"), F.col("p.n").alias("n")), "jj-picked")
+            pivots = picked.groupBy(F.col("region").alias("pr")).agg(F.min(F.struct(F.xxhash64("key", F.lit(turn)).alias("h"), "key", "n", "comp")).alias("p"))
+            pivots = stage(pivots.select("pr", F.col("p.key").alias("other"), F.col("p.n").alias("on"), F.col("p.comp").alias("of")), "jj-pivots")
+            pairs = picked.join(pivots, (F.col("region") == F.col("pr")) & (F.col("comp") != F.col("of"))).select("key", "n", "other", "on")
+            linked = _distances(_ordered(pairs), firsts, sets, percent).filter("linked")
+            found = stage(linked.select(F.col("x").alias("a"), F.col("y").alias("b")), "jj-links")
+            links.append(found)
+            regions = _open_regions(regions.drop("comp"), _all(links))
+            keep(found, regions, *sets.parts)
+    return regions
+
+
 def _join_regions(regions: DataFrame, firsts: DataFrame, sets: _Sets, percent: int) -> DataFrame:
     """Links (a, b) that connect exactly what all links connect."""
-    spark, eps, links, depth = regions.sparkSession, 1 - percent / 100, None, -1
-    while True:
+    spark, eps, links, depth = regions.sparkSession, 1 - percent / 100, [], -1
+    regions = _first_links(_open_regions(regions, None), links, firsts, sets, percent)
+    while not regions.isEmpty():
         depth += 1
-        pairs, some = (steps[min(depth, len(steps) - 1)] for steps in (LEAF_PAIRS, PIVOTS))
-        size = stage(regions.groupBy(F.col("region").alias("r")).agg(
-            F.count_if(F.col("side") == 0).alias("n0"), F.count_if(F.col("side") == 1).alias("n1"), F.count_if(F.col("side") == 2).alias("n2"))
-            .withColumn("leaf", F.expr(f"n0 * (n0 - 1) / 2 + n1 * n2 <= {pairs}")), "jj-size")
-        if size.isEmpty():
-            return links if links is not None else spark.createDataFrame([], "a long, b long")
-        sized = regions.join(size, F.col("region") == F.col("r"))
-        leaf = sized.filter("leaf")
-        other = leaf.select(F.col("region").alias("r2"), F.col("key").alias("y"), F.col("n").alias("ny"), F.col("side").alias("side2"))
-        small = leaf.join(other, (F.col("region") == F.col("r2")) & F.expr(
-            "(side = 0 AND side2 = 0 AND key < y) OR (side = 1 AND side2 = 2)")).select(
-            F.col("key").alias("x"), "y", F.col("n").alias("nx"), "ny")
-        # Pivots: the least hash of each of a few slots, of the side that shrinks; min() is combined before the shuffle.
-        # A ring that fits is measured whole; else ball members are pivots, and a ring member needs one link to be done.
-        by = F.when(F.col("n0") > 0, 0).when(F.col("n2") <= some, 2).otherwise(1)
-        big = stage(sized.filter("NOT leaf").select("region", "key", "n", "side", by.alias("by")), "jj-big")
-        # The hash is of the set alone, so regions with much the same members pick the same pivots.
-        mixed = F.xxhash64("key", F.lit(depth))
-        slot = F.when(F.col("by") == 2, F.pmod(mixed, F.lit(16 * some))).otherwise(F.pmod(mixed, F.lit(some)))
-        pivots = stage(big.filter("side = by").groupBy(F.col("region").alias("pr"), slot.alias("slot"))
-                       .agg(F.min(F.struct(mixed.alias("h"), "key", "n")).alias("p"))
-                       .select("pr", F.col("p.key").alias("pivot"), F.col("p.n").alias("pn")), "jj-pivots")
-        against = big.filter("side <> by OR by = 0").join(pivots, (F.col("region") == F.col("pr")) & (F.col("key") != F.col("pivot")))
-        measured = stage(against.select("region", "key", "n", "side", "pivot", "pn"), "jj-measured")
-        wide = measured.select(F.least("key", "pivot").alias("x"), F.greatest("key", "pivot").alias("y"),
-                               F.when(F.col("key") < F.col("pivot"), F.col("n")).otherwise(F.col("pn")).alias("nx"),
-                               F.when(F.col("key") < F.col("pivot"), F.col("pn")).otherwise(F.col("n")).alias("ny"))
-        narrow = small.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"),
-                              F.when(F.col("x") < F.col("y"), F.col("nx")).otherwise(F.col("ny")).alias("na"),
-                              F.when(F.col("x") < F.col("y"), F.col("ny")).otherwise(F.col("nx")).alias("nb")).toDF("x", "y", "nx", "ny")
-        dist = stage(_distances(narrow.union(wide), firsts, sets, percent), "jj-dist")
-        new = dist.filter("linked").select(F.col("x").alias("a"), F.col("y").alias("b"))
-        links = new if links is None else links.union(new)
-        if measured.isEmpty():
-            return links
-        seen = measured.join(dist, (F.least("key", "pivot") == F.col("x")) & (F.greatest("key", "pivot") == F.col("y"))) \
-            .select("region", "key", "n", "side", "pivot", "linked", "d")
-        regions = stage(_next_regions(big, pivots, stage(seen, "jj-seen"), eps, depth), "jj-next")
+        pairs, some, few = (steps[min(depth, len(steps) - 1)] for steps in (LEAF_PAIRS, PIVOTS, FEW))
+        with temporary(spark) as keep:
+            parts = regions.groupBy("region", "comp").agg(*(F.count_if(F.col("side") == k).alias(f"m{k}") for k in range(3)))
+            size = stage(parts.groupBy(F.col("region").alias("r")).agg(
+                *(F.sum(f"m{k}").alias(f"n{k}") for k in range(3)), F.max(F.struct("m0", "comp")).alias("top"))
+                .select("r", "n0", "n1", "n2", F.col("top.comp").alias("main"),
+                        F.expr(f"IF(n0 > 0, (n0 - top.m0) * n0 <= {pairs} OR n0 - top.m0 <= {few}, n1 * n2 <= {pairs})").alias("leaf")), "jj-size")
+            sized = regions.join(size, F.col("region") == F.col("r"))
+            leaf = sized.filter("leaf")
+            outside = leaf.filter("side = 1 OR side = 0 AND comp <> main")
+            met = leaf.filter("side <> 1").select(F.col("region").alias("r2"), F.col("key").alias("other"), F.col("n").alias("on"), F.col("side").alias("side2"), F.col("comp").alias("comp2"))
+            small = outside.join(met, (F.col("region") == F.col("r2")) & F.expr(
+                "comp <> comp2 AND (side = 0 AND side2 = 0 AND (comp2 = main OR key < other) OR side = 1 AND side2 = 2)"))
+            # Pivots: the least hash of each of a few slots, of the side that shrinks; min() is combined before the shuffle.
+            # A ring that fits is measured whole; else ball members are pivots, and a ring member needs one link to be done.
+            by = F.when(F.col("n0") > 0, 0).when(F.col("n2") <= some, 2).otherwise(1)
+            big = stage(sized.filter("NOT leaf").select("region", "key", "n", "side", by.alias("by")), "jj-big")
+            # The hash is of the set alone, so regions with much the same members pick the same pivots.
+            mixed = F.xxhash64("key", F.lit(depth))
+            slot = F.when(F.col("by") == 2, F.pmod(mixed, F.lit(16 * some))).otherwise(F.pmod(mixed, F.lit(some)))
+            pivots = stage(big.filter("side = by").groupBy(F.col("region").alias("pr"), slot.alias("slot"))
+                           .agg(F.min(F.struct(mixed.alias("h"), "key", "n")).alias("p"))
+                           .select("pr", F.col("p.key").alias("pivot"), F.col("p.n").alias("pn")), "jj-pivots")
+            against = big.filter("side <> by OR by = 0").join(pivots, (F.col("region") == F.col("pr")) & (F.col("key") != F.col("pivot")))
+            measured = stage(against.select("region", "key", "n", "side", "pivot", "pn"), "jj-measured")
+            wide = measured.select("key", "n", F.col("pivot").alias("other"), F.col("pn").alias("on"))
+            asked = _ordered(small.select("key", "n", "other", "on").union(wide))
+            dist = stage(_distances(asked, firsts, sets, percent), "jj-dist")
+            found = stage(dist.filter("linked").select(F.col("x").alias("a"), F.col("y").alias("b")), "jj-links")
+            links.append(found)
+            seen = measured.join(dist, (F.least("key", "pivot") == F.col("x")) & (F.greatest("key", "pivot") == F.col("y"))) \
+                .select("region", "key", "n", "side", "pivot", "linked", "d")
+            after = stage(_next_regions(big, pivots, stage(seen, "jj-seen"), eps, depth), "jj-next")
+            regions = _open_regions(after, _all(links)) if not after.isEmpty() else after
+            keep(found, regions, *sets.parts)
+    return _all(links)
 
 
 def _next_regions(big: DataFrame, pivots: DataFrame, seen: DataFrame, eps: float, depth: int) -> DataFrame:
@@ -328,15 +384,20 @@ def _next_regions(big: DataFrame, pivots: DataFrame, seen: DataFrame, eps: float
 def _rooted(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """(doc_id, text_key, n_shingles, root) per row; root is NULL for texts without words."""
     docs = docs.select("doc_id", "text", _text_key().alias("text_key"))
-    classes = pivot_classes(docs, size)
-    homes = stage(docs.mapInArrow(_home_tasks(classes, size, percent), "doc_id long, text_key long, n long, key long, pivots array<long>"), "jj-homes")
-    regions = _regions(homes.filter("key IS NOT NULL"))
-    active = regions.select(F.col("key").alias("k")).distinct()
-    firsts = stage(homes.select("key", "pivots").join(active, F.col("key") == F.col("k"), "left_semi").dropDuplicates(["key"]), "jj-firsts")
-    roots = connected_components(_join_regions(regions, firsts, _Sets(docs, size), percent))
-    rows = homes.select("doc_id", "text_key", F.col("n").alias("n_shingles"), "key")
-    return stage(rows.join(roots, F.col("key") == F.col("node"), "left")
-                 .select("doc_id", "text_key", "n_shingles", F.coalesce("root", "key").alias("root")), "jj-rooted")
+    with temporary(docs.sparkSession) as keep:
+        classes = pivot_classes(docs, size)
+        homes = stage(docs.mapInArrow(_home_tasks(classes, size, percent), "doc_id long, text_key long, n long, key long, pivots array<long>"), "jj-homes")
+        regions = _regions(homes.filter("key IS NOT NULL"))
+        active = regions.select(F.col("key").alias("k")).distinct()
+        held = homes.join(active, F.col("key") == F.col("k"), "left_semi")
+        firsts = stage(held.select("key", "pivots").dropDuplicates(["key"]), "jj-firsts")
+        texts = stage(held.groupBy("key").agg(F.min("text_key").alias("text_key")), "jj-texts")
+        roots = connected_components(_join_regions(regions, firsts, _Sets(docs, texts, size), percent))
+        rows = homes.select("doc_id", "text_key", F.col("n").alias("n_shingles"), "key")
+        out = stage(rows.join(roots, F.col("key") == F.col("node"), "left")
+                    .select("doc_id", "text_key", "n_shingles", F.coalesce("root", "key").alias("root")), "jj-rooted")
+        keep(out)
+    return out
 
 
 def _text_key() -> Column:

@@ -70,6 +70,7 @@ def test_jaccard_components(spark, rows):
 def test_jaccard_recursion_is_exact_with_tiny_leaves(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "LEAF_PAIRS", (0, 0, 3))
     monkeypatch.setattr(jaccard_join, "PIVOTS", (1, 2, 2))
+    monkeypatch.setattr(jaccard_join, "FEW", (0, 0, 2))
     rows = near_copies(4, 2, 25, length=50, edits=4)
     got = jaccard_join.jaccard_components(table(spark, rows)).collect()
     assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == components(rows)
