@@ -12,9 +12,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_OPEN: list[list[tuple[str, DataFrame]]] = []
+
 
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``; a local one only under ``local[...]``."""
@@ -39,7 +43,33 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    if _OPEN:
+        _OPEN[-1].append((path, staged))
+    return staged
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[Callable[..., None]]:
+    """Frames staged inside go at the end, but for those handed to the function this gives.
+
+    What is handed out of the block must read no other staged frame of it. Blocks may be nested: what an inner
+    one keeps lasts as long as the outer one.
+    """
+    made: list[tuple[str, DataFrame]] = []
+    kept: list[DataFrame] = []
+    _OPEN.append(made)
+    try:
+        yield lambda *frames: kept.extend(frames)
+    finally:
+        _OPEN.pop()
+        for path, frame in made:
+            if any(frame is k for k in kept):
+                if _OPEN:
+                    _OPEN[-1].append((path, frame))
+            else:
+                folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+                folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
