@@ -44,9 +44,9 @@ SHINGLE, PERCENT = 5, 75
 SKETCH_CELLS, SKETCH_ROWS, SKETCH_CHUNK, SKETCH_FAN = 1 << 21, 2, 1 << 17, 512
 REGION_BITS = 1 << 25
 # By depth of the recursion: deep regions are few, so they may compare more pairs and take more pivots at once.
-LEAF_PAIRS, PIVOTS = (10, 160, 10_000), (4, 16, 64)
+LEAF_PAIRS, PIVOTS = (10, 160, 10_000, 100_000), (4, 16, 64, 128)
 FIRST_ROUNDS = 3
-FEW = (8, 16, 64)  # a region with so many members at most outside its largest component is compared directly, by depth
+FEW = (8, 16, 64, 256)  # a region with so many members at most outside its largest component is compared directly, by depth
 ROWS_OUT = 2000
 
 
@@ -227,6 +227,7 @@ class _Sets:
         self.docs, self.texts, self.size, self.parts = docs, texts, size, []
 
     def of(self, keys: DataFrame) -> DataFrame:
+        keys_of = keys
         for part in self.parts:
             keys = keys.join(part.select("key"), "key", "left_anti")
         keys = stage(keys, "jj-wanted")
@@ -237,7 +238,20 @@ class _Sets:
         out = self.parts[0]
         for part in self.parts[1:]:
             out = out.union(part)
-        return out
+        return _only(out, keys_of)
+
+
+def _only(table: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows of ``table`` (key first) whose key passes a filter of ``keys``, so that a join with few keys shuffles few rows."""
+    wanted, names = bit_filter(keys, "key", REGION_BITS), table.columns
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = np.flatnonzero(may_contain(wanted, batch.column(0).to_numpy().view(np.uint64)))
+            for a in range(0, len(rows), ROWS_OUT):
+                yield pa.RecordBatch.from_arrays([c.take(pa.array(rows[a:a + ROWS_OUT])) for c in batch.columns], names)
+
+    return table.mapInArrow(keep, table.schema)
 
 
 def _paired(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
@@ -251,7 +265,9 @@ def _distances(pairs: DataFrame, firsts: DataFrame, sets: _Sets, percent: int) -
     pairs = stage(pairs.groupBy("x", "y").agg(F.first("nx").alias("nx"), F.first("ny").alias("ny"))
                   .withColumn("near", F.expr(f"100 * least(nx, ny) >= {percent} * greatest(nx, ny)")), "jj-pairs")
     schema, fits = "x long, y long, nx long, ny long, most long", F.expr(f"{100 + percent} * most >= {percent} * (nx + ny)")
-    bounds = stage(_paired(pairs.filter("near"), firsts, "pivots").mapInArrow(_bounds, schema).withColumn("fits", fits), "jj-bounds")
+    near = pairs.filter("near")
+    firsts = _only(firsts.select("key", "pivots"), near.select(F.col("x").alias("key")).union(near.select("y")))
+    bounds = stage(_paired(near, firsts, "pivots").mapInArrow(_bounds, schema).withColumn("fits", fits), "jj-bounds")
     likely = bounds.filter("fits")
     keys = likely.select(F.col("x").alias("key")).union(likely.select("y")).distinct()
     exact = _paired(likely, sets.of(keys), "shingles").mapInArrow(_shared, schema).withColumn("fits", fits)
