@@ -284,12 +284,12 @@ def _ordered(pairs: DataFrame) -> DataFrame:
                         F.when(first, F.col("n")).otherwise(F.col("on")).alias("nx"), F.when(first, F.col("on")).otherwise(F.col("n")).alias("ny"))
 
 
-def _open_regions(regions: DataFrame, links: DataFrame | None) -> DataFrame:
+def _open_regions(regions: DataFrame, roots: DataFrame | None) -> DataFrame:
     """Regions whose members are of several components, with the component of every member; staged."""
-    if links is None or links.isEmpty():
+    if roots is None:
         known = regions.withColumn("comp", F.col("key"))
     else:
-        known = regions.join(connected_components(links), F.col("key") == F.col("node"), "left").withColumn("comp", F.coalesce("root", "key")).drop("node", "root")
+        known = regions.join(roots, F.col("key") == F.col("node"), "left").withColumn("comp", F.coalesce("root", "key")).drop("node", "root")
     mixed = stage(known.groupBy(F.col("region").alias("r")).agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high").select("r"), "jj-mixed")
     return stage(known.join(mixed, F.col("region") == F.col("r"), "left_semi").select("region", "key", "n", "side", "comp"), "jj-regions")
 
@@ -301,9 +301,9 @@ def _all(links: list[DataFrame]) -> DataFrame | None:
     return out
 
 
-def _first_links(regions: DataFrame, links: list[DataFrame], firsts: DataFrame, sets: _Sets, percent: int) -> DataFrame:
-    """A few rounds of one pair per set; adds to ``links`` and returns the regions that are still open."""
-    spark = regions.sparkSession
+def _first_links(regions: DataFrame, links: list[DataFrame], firsts: DataFrame, sets: _Sets, percent: int) -> tuple[DataFrame, DataFrame | None]:
+    """A few rounds of one pair per set, as long as they find links; adds to ``links`` and returns the regions that are still open, and the components."""
+    spark, roots = regions.sparkSession, None
     for turn in range(FIRST_ROUNDS):
         with temporary(spark) as keep:
             picked = regions.groupBy("key", "comp").agg(F.min(F.struct(F.xxhash64("region", F.lit(turn)).alias("h"), "region", "n")).alias("p"))
@@ -314,15 +314,19 @@ def _first_links(regions: DataFrame, links: list[DataFrame], firsts: DataFrame,
             linked = _distances(_ordered(pairs), firsts, sets, percent).filter("linked")
             found = stage(linked.select(F.col("x").alias("a"), F.col("y").alias("b")), "jj-links")
             links.append(found)
-            regions = _open_regions(regions.drop("comp"), _all(links))
-            keep(found, regions, *sets.parts)
-    return regions
+            keep(found, *sets.parts)
+            if found.isEmpty():
+                break
+            roots = connected_components(_all(links))
+            regions = _open_regions(regions.drop("comp"), roots)
+            keep(regions, roots)
+    return regions, roots
 
 
 def _join_regions(regions: DataFrame, firsts: DataFrame, sets: _Sets, percent: int) -> DataFrame:
-    """Links (a, b) that connect exactly what all links connect."""
+    """(node, root) of the components that all links make; sets without a link may be left out."""
     spark, eps, links, depth = regions.sparkSession, 1 - percent / 100, [], -1
-    regions = _first_links(_open_regions(regions, None), links, firsts, sets, percent)
+    regions, roots = _first_links(_open_regions(regions, None), links, firsts, sets, percent)
     while not regions.isEmpty():
         depth += 1
         pairs, some, few = (steps[min(depth, len(steps) - 1)] for steps in (LEAF_PAIRS, PIVOTS, FEW))
@@ -358,9 +362,12 @@ def _join_regions(regions: DataFrame, firsts: DataFrame, sets: _Sets, percent: i
             seen = measured.join(dist, (F.least("key", "pivot") == F.col("x")) & (F.greatest("key", "pivot") == F.col("y"))) \
                 .select("region", "key", "n", "side", "pivot", "linked", "d")
             after = stage(_next_regions(big, pivots, stage(seen, "jj-seen"), eps, depth), "jj-next")
-            regions = _open_regions(after, _all(links)) if not after.isEmpty() else after
+            if not found.isEmpty():
+                roots = connected_components(_all(links))
+                keep(roots)
+            regions = _open_regions(after, roots) if not after.isEmpty() else after
             keep(found, regions, *sets.parts)
-    return _all(links)
+    return spark.createDataFrame([], "node long, root long") if roots is None else roots
 
 
 def _next_regions(big: DataFrame, pivots: DataFrame, seen: DataFrame, eps: float, depth: int) -> DataFrame:
@@ -408,7 +415,7 @@ def _rooted(docs: DataFrame, size: int, percent: int) -> DataFrame:
         held = homes.join(active, F.col("key") == F.col("k"), "left_semi")
         firsts = stage(held.select("key", "pivots").dropDuplicates(["key"]), "jj-firsts")
         texts = stage(held.groupBy("key").agg(F.min("text_key").alias("text_key")), "jj-texts")
-        roots = connected_components(_join_regions(regions, firsts, _Sets(docs, texts, size), percent))
+        roots = _join_regions(regions, firsts, _Sets(docs, texts, size), percent)
         rows = homes.select("doc_id", "text_key", F.col("n").alias("n_shingles"), "key")
         out = stage(rows.join(roots, F.col("key") == F.col("node"), "left")
                     .select("doc_id", "text_key", "n_shingles", F.coalesce("root", "key").alias("root")), "jj-rooted")
