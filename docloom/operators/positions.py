@@ -97,3 +97,22 @@ def id_slices(ids: DataFrame, column: str, size: int) -> DataFrame:
         placed.groupBy(slice_no.alias("slice_no"))
         .agg(F.array_sort(F.collect_list(column)).alias("ids"))
     )
+
+
+def weighted_batches(df: DataFrame, order_by: Sequence[Column], weight: Column, target: int, out: str = "batch_no") -> DataFrame:
+    """Add the batch of each row: neighbours in the order, cut wherever the running weight passes a multiple of ``target``.
+
+    A batch weighs at most ``target`` plus its last row. NULL and negative weights count as 0.
+    """
+    if target < 1:
+        raise ValueError("target must be at least 1")
+    weight = F.greatest(F.coalesce(weight.cast("bigint"), F.lit(0)), F.lit(0))
+    placed = running_total(df.withColumn("_weight", weight), order_by, F.col("_weight"), "_through")
+    return placed.withColumn(out, F.expr(f"(_through - _weight) DIV {target}")).drop("_weight", "_through")
+
+
+def spread_by_weight(df: DataFrame, order_by: Sequence[Column], weight: Column, target: int) -> DataFrame:
+    """``df`` with one task per weighted batch, before slow work whose time follows the weight."""
+    placed = stage(weighted_batches(df, order_by, weight, target, "_batch"), "weighted")
+    tasks = (placed.agg(F.max("_batch")).first()[0] or 0) + 1
+    return placed.repartitionById(tasks, F.col("_batch").cast("int")).drop("_batch")

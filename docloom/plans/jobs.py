@@ -16,13 +16,13 @@ from pyspark.sql import types as T
 from docloom.functions.metadata import align, batch_number, composite_path, normalise_names, target_path
 from docloom.operators import corpus, stages, sync, versions
 from docloom.operators.merge import Insert, Update, merge, publish, replace_by_key, update_column
-from docloom.operators.positions import PAGE_BITS, chunk_key, surrogate_keys
+from docloom.operators.positions import PAGE_BITS, chunk_key, spread_by_weight, surrogate_keys
 from docloom.schemas import (
     BATCH_COUNT, BUCKETED, DEFAULTS, DOWNLOAD_STATUS, EXPORT_RENAMES, METADATA, TABLES, VERSION_KEY, VIEWABLE_RENDITION,
 )
 from docloom.sources.generations import VersionedTable, ranged
 from docloom.sources.readers import CORRUPT
-from docloom.sources.writers import Fetcher, create_tables, land_files
+from docloom.sources.writers import Fetcher, create_tables, land_files, land_missing
 from docloom.staging import scratch_root, stage
 
 
@@ -146,11 +146,26 @@ def insert_versions(to: Corpus, rows: DataFrame) -> None:
     to.update("docs_metadata", keyed, lambda known: merge(known, keyed, VERSION_KEY, not_matched=insert))
 
 
-def download(to: Corpus, fetcher: Fetcher, partitions: int | None = None) -> None:
-    """Land the pending documents, record each outcome, and mark the latest version of every number."""
+def download(
+    to: Corpus, fetcher: Fetcher, partitions: int | None = None, manifest: str | None = None, task_bytes: int | None = None
+) -> None:
+    """Land the pending documents, record each outcome, and mark the latest version of every number.
+
+    With ``manifest``, a path, objects that an earlier run landed are not fetched again. With ``task_bytes``, a task
+    gets documents of about so many bytes, by their ``size``, instead of one of ``partitions`` equal shares.
+    """
     known = to.read("docs_metadata")
     pending = known.filter(stages.gate(stages.BY_NAME["download"]))
-    landed = stage(land_files(pending, fetcher, partitions=partitions), "landed")
+
+    def spread(rows: DataFrame) -> DataFrame:
+        if task_bytes is not None:
+            return spread_by_weight(rows, [F.col("metadata_id")], F.col("size"), task_bytes)
+        return rows.repartition(partitions) if partitions else rows
+
+    if manifest is None:
+        landed = stage(land_files(spread(pending), fetcher), "landed")
+    else:
+        landed = land_missing(pending, fetcher, manifest, spread=spread)
     to.write(landed.select(*DOWNLOAD_STATUS.names), "download_status")
     was = known.select("metadata_id", versions.NUMBER, versions.MAJOR, versions.MINOR, F.col("is_latest_doc_in_dl").alias("_was"))
     flags = versions.with_latest(was, "_latest").filter(~F.col("_latest").eqNullSafe(F.col("_was"))).select("metadata_id", "_latest")
