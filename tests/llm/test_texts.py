@@ -267,12 +267,27 @@ def test_slots_are_a_keyed_permutation(total):
     assert total < 64 or slots.tolist() != token_shards.feistel(np.arange(total), total, 6).tolist()
 
 
+def token_shards_ids(encode, text):
+    return [*encode(text), token_shards.END] if text else []
+
+
+def small_batches(rows, module):
+    """Ids of every text, three texts a batch, by an encoder that forgets often."""
+    encoder = module._Encoder(module.TOKENIZERS)
+    for a in range(0, len(rows), 3):
+        for _, words, first in encoder.blocks(pa.array([t for _, t in rows[a:a + 3]], pa.string())):
+            ids, ends = encoder.flat(words).tolist(), encoder.ends(words, first).tolist()
+            yield from (ids[x:y] for x, y in zip(ends, ends[1:], strict=False))
+
+
 def test_shards_round_trip(spark, tmp_path, monkeypatch):
     import tiktoken
 
     monkeypatch.setattr(token_shards, "SHARD", 8)
     rng = random.Random(4)
     texts = ["Hello, world!\nNew  line \n and\ttabs  ", "é ü 12 34's it's", "word " * 900, " lead", "a\n\n b", "end ", *[" ".join(rng.choice(["tho", "Re", "x1", "\n", ""]) for _ in range(80)) for _ in range(20)]]
+    spaces = ["a  ", "b", "x\u3000 y", "x\u3000  y", "\u00a0 \u00e9 \u2003z", "\r \x1c q  ", " ", "  ", "\u65e5 \u672c  \u0436 \u0438", "n 1 \n 2"]
+    texts += spaces + ["".join(rng.choice([" ", " ", "\n", "\u3000", "\u00a0", "\u2003", "\x0b", "d", "\u00e9", "7", "'s", "!"]) for _ in range(200)) for _ in range(30)]
     rows = [*ODD, *enumerate(texts, 10)]
     source = str(tmp_path / "docs")
     spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, slot int").repartition(3).write.parquet(source)
@@ -288,6 +303,11 @@ def test_shards_round_trip(spark, tmp_path, monkeypatch):
             want.append((str(doc), k // 16, len(part) // 2, zlib.crc32(part)))
     assert sorted((str(r.doc_id), r.sequence, r.n_tokens, r.crc) for r in got) == sorted(want) and total == len(want)
     assert sorted(r.slot for r in got) == list(range(total)) and all(r.shard == r.slot // 8 for r in got)
+    for first, count in ((0, 1), (5, 3), (7, 30), (total - 2, 50), (total, 4)):
+        part = token_shards.read_slots(spark, str(tmp_path / "out"), first, count, length=16).collect()
+        assert sorted(map(tuple, part)) == sorted(tuple(r) for r in got if first <= r.slot < first + count)
+    monkeypatch.setattr(token_shards, "CACHE", 20)
+    assert list(small_batches(rows, token_shards)) == [token_shards_ids(encode, text) for _, text in rows]
     empty = str(tmp_path / "none")
     spark.read.parquet(source).limit(0).write.parquet(empty)
     assert token_shards.write_shards(spark.read.parquet(empty), str(tmp_path / "out2")) == 0
