@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from docloom.operators import chat, search
+from docloom.operators import chat, inverted, search
 from docloom.plans import fixtures as fx
 from docloom.plans.table_queries import query
-from docloom.staging import stage
+from docloom.staging import scratch_path, stage
 
 # --- oracle pieces -------------------------------------------------------------------------
 
@@ -105,6 +105,12 @@ def knn_lsh(spark, sf_dir):
     return search.lsh_topk(fx.questions(spark, sf_dir), _chunks(spark, sf_dir))
 
 
+_LAST = "last AS (SELECT conv_id AS question_id, arg_max(role, turn) AS role FROM conversations GROUP BY conv_id)"
+_ALLOWED = """CASE role WHEN 'user' THEN lang IN ('en', 'fr') WHEN 'assistant' THEN lang IN ('de', 'es') ELSE lang IN ('en') END"""
+_FILTERED_LEXICAL = f"""{_bm25('fx_questions')}, {_LAST},
+    worded AS (SELECT l.* FROM lexical l JOIN fx_chunks USING (chunk_id) JOIN last USING (question_id) WHERE {_ALLOWED})"""
+
+
 @query(f"""WITH items AS (SELECT item_id AS question_id, text FROM benchmark), {_bm25('items')},
            {_top('top', 'lexical', 8)} SELECT question_id, chunk_id, score, rank FROM top""", "fx_chunks")
 def bm25_topk(spark, sf_dir):
@@ -112,6 +118,26 @@ def bm25_topk(spark, sf_dir):
     return search.bm25_topk(items, _index(spark, sf_dir))
 
 
+@query(f"""WITH items AS (SELECT item_id AS question_id, text FROM benchmark), {_bm25('items')},
+           {_top('top', 'lexical', 8)} SELECT question_id, chunk_id, score, rank FROM top""", "fx_chunks")
+def bm25_stored(spark, sf_dir):
+    """The same answers from a stored inverted index."""
+    path = scratch_path(spark, "inverted")
+    inverted.build_index(_index(spark, sf_dir), path)
+    items = fx.table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("question_id"), "text")
+    return inverted.stored_topk(spark, items, path)
+
+
+@query(f"""WITH {_FILTERED_LEXICAL}, {_top('top', 'worded', 8)} SELECT question_id, chunk_id, score, rank FROM top""",
+       "fx_chunks", "fx_questions")
+def bm25_stored_filtered(spark, sf_dir):
+    """Each request's own filter over the stored index, which keeps the filter column with its postings."""
+    path = scratch_path(spark, "inverted")
+    inverted.build_index(_index(spark, sf_dir, "lang"), path, ["lang"])
+    asked = search.with_default_filter(fx.questions(spark, sf_dir), _requested(spark, sf_dir), "lang", ["en"])
+    return inverted.stored_topk(spark, asked, path, filters=["lang"])
+
+
 @query(f"""WITH {_SCORED}, {_bm25('fx_questions')}, {_top('by_vector', 'scored', 40)},
            {_top('by_text', 'lexical', 40)}, fused AS (SELECT question_id, chunk_id,
              round(sum(1.0::DOUBLE / (60 + rank)), 6) AS score FROM (SELECT question_id, chunk_id, rank FROM by_vector
@@ -122,8 +148,6 @@ def hybrid_rrf(spark, sf_dir):
     return search.hybrid_topk(fx.questions(spark, sf_dir), _chunks(spark, sf_dir), _index(spark, sf_dir))
 
 
-_LAST = "last AS (SELECT conv_id AS question_id, arg_max(role, turn) AS role FROM conversations GROUP BY conv_id)"
-_ALLOWED = """CASE role WHEN 'user' THEN lang IN ('en', 'fr') WHEN 'assistant' THEN lang IN ('de', 'es') ELSE lang IN ('en') END"""
 _FILTERED = f"""{_SCORED}, {_bm25('fx_questions')}, {_LAST},
     near AS (SELECT s.* FROM scored s JOIN last USING (question_id) WHERE {_ALLOWED}),
     worded AS (SELECT l.* FROM lexical l JOIN fx_chunks USING (chunk_id) JOIN last USING (question_id) WHERE {_ALLOWED}),

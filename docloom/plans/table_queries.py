@@ -25,6 +25,7 @@ from docloom.staging import scratch_path, spread, stage
 
 QUERIES = {}
 ORACLE = {}
+SPLIT_BYTES = 1 << 19
 
 
 def query(sql: str | None, *fixtures: str):
@@ -72,6 +73,23 @@ def src_csv_export(spark, sf_dir):
     )
 
 
+@query("SELECT doc_id, lang, text, CAST(strlen(text) AS BIGINT) AS bytes FROM documents")
+def src_csv_quoted(spark, sf_dir):
+    """Whole texts with line breaks, quotes and commas, through CSV files cut into many small splits."""
+    path, size = scratch_path(spark, "quoted"), "spark.sql.files.maxPartitionBytes"
+    written = fx.table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    written.write.options(header="true", escape='"', quoteAll="true", ignoreLeadingWhiteSpace="false",
+                          ignoreTrailingWhiteSpace="false").csv(path)
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("lang", T.StringType()), T.StructField("text", T.StringType())])
+    usual = spark.conf.get(size)
+    spark.conf.set(size, str(SPLIT_BYTES))
+    try:
+        read = readers.read_quoted_csv(spark, path, schema)
+    finally:
+        spark.conf.set(size, usual)
+    return read.select("doc_id", "lang", "text", F.octet_length("text").cast("long").alias("bytes"))
+
+
 @query("""SELECT page_id, split_part(regexp_replace(uri, '^s3[an]?://', ''), '/', 1) AS bucket,
           regexp_replace(regexp_replace(uri, '^s3[an]?://', ''), '^[^/]*/', '') AS object_key
           FROM (SELECT page_id, concat(CASE WHEN page_id % 3 = 0 THEN 's3://' WHEN page_id % 3 = 1 THEN 's3a://'

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docloom.schemas import EXPORT_SCHEMA
+from docloom.staging import stage
 
 CORRUPT = "_corrupt_record"
 
@@ -62,7 +63,8 @@ def read_export_csv(
     """An export with a header row. Lines that do not parse keep their text in ``_corrupt_record``.
 
     A file with a header and no rows gives an empty frame with the full schema. Quoted line breaks
-    need ``multi_line``, which makes each file one task, so it is off by default.
+    need ``multi_line``, which makes each file one task, so it is off by default; ``read_quoted_csv`` cuts
+    such files into many tasks.
     """
     full = T.StructType([*schema, T.StructField(CORRUPT, T.StringType())])
     return (
@@ -76,6 +78,63 @@ def read_export_csv(
     )
 
 
+def quoted_records(spark: SparkSession, path: str) -> DataFrame:
+    """The records of CSV files as (file, record), header rows left out, with files cut into many tasks.
+
+    A line break ends a record when the quotes before it, in the whole file, are even in number. Each split counts
+    its quotes, a running sum over the splits of a file says with which parity a split begins, and lines then find
+    their record. A split that begins outside quotes and has no line with an odd count needs none of this: its lines
+    are its records and are not shuffled. Lines are staged with the split they came from, since a later scan may be
+    cut in other places. Quotes inside quotes are doubled; a quote alone within an unquoted field
+    breaks this rule, as it does every split CSV file.
+    """
+    lines = (
+        spark.read.option("lineSep", "\n").text(path)
+        .select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
+                F.monotonically_increasing_id().alias("line"))  # rising within a split
+        .withColumn("quotes", F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit(""))))
+    )
+    lines = stage(lines, "csv-lines")
+    odd = F.col("quotes") % 2
+    # Rows of one file's splits: one per split of some hundred megabytes.
+    in_file = Window.partitionBy("file").orderBy("split")
+    before = F.coalesce(F.sum("odd").over(in_file.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) % 2
+    splits = stage(lines.groupBy("file", "split").agg(F.sum(odd).alias("odd")), "csv-splits")
+    splits = splits.withColumn("inside", before).withColumn(
+        "plain", (F.col("inside") == 0) & (F.col("odd") == 0) & (F.col("split") > 0))
+    splits = stage(splits.select("file", "split", "inside", "plain"), "csv-parity")
+    lines = lines.join(splits, ["file", "split"])
+    plain = lines.filter("plain").select("file", F.col("value").alias("record"))
+
+    in_split = Window.partitionBy("file", "split").orderBy("line")
+    begun = in_split.rowsBetween(Window.unboundedPreceding, -1)
+    parity = (F.col("inside") + F.coalesce(F.sum(odd).over(begun), F.lit(0))) % 2
+    numbered = lines.filter(~F.col("plain")).withColumn("starts", parity == 0)
+    numbered = numbered.withColumn("number", F.sum(F.col("starts").cast("long")).over(in_split))
+    # Lines before a split's first start (number 0) belong to the last record of the nearest split with a start.
+    last = stage(numbered.groupBy("file", "split").agg(F.max("number").alias("records")), "csv-records")
+    opened = F.last(F.when(F.col("records") > 0, F.struct("split", "records")), ignorenulls=True).over(
+        in_file.rowsBetween(Window.unboundedPreceding, -1))
+    carried = stage(last.select("file", "split", opened.alias("open")), "csv-open")
+    owned = numbered.join(carried, ["file", "split"]).select(
+        "file", "line", "value", F.col("split").alias("_at"),
+        F.when(F.col("number") > 0, F.col("split")).otherwise(F.col("open.split")).alias("split"),
+        F.when(F.col("number") > 0, F.col("number")).otherwise(F.col("open.records")).alias("number"))
+    parts = F.transform(F.array_sort(F.collect_list(F.struct("_at", "line", "value"))), lambda x: x["value"])
+    whole = owned.groupBy("file", "split", "number").agg(F.array_join(parts, "\n").alias("record"))
+    whole = whole.filter(~((F.col("split") == 0) & (F.col("number") == 1))).select("file", "record")
+    ended = F.regexp_replace("record", r"\r$", "")
+    return plain.unionByName(whole).withColumn("record", ended).filter(F.trim("record") != "")
+
+
+def read_quoted_csv(spark: SparkSession, path: str, schema: T.StructType = EXPORT_SCHEMA) -> DataFrame:
+    """``read_export_csv`` for files whose quoted fields hold line breaks, without one task per file."""
+    full = T.StructType([*schema, T.StructField(CORRUPT, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "escape": '"', "multiLine": "true"}
+    parsed = F.from_csv("record", F.lit(full.simpleString()[len("struct<"):-1].replace(":", " ")), options)
+    return quoted_records(spark, path).select(parsed.alias("r")).select("r.*")
+
+
 def uri_parts(uri: Column) -> dict[str, Column]:
     """Bucket and key of an object URI, with or without its ``s3``, ``s3a`` or ``s3n`` scheme."""
     bare = F.regexp_replace(uri, r"^s3[an]?://", "")
