@@ -9,6 +9,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from docloom.llm import gru, html_wrapper, quality_cascade, secret_scan, token_shards, toxicity, url_filter
 
 ODD = [(1, None), (2, ""), (3, " \n\t "), (None, "some words"), (5, "x"), (5, "x")]
@@ -48,6 +49,16 @@ def test_cascade_order_does_not_change_the_result(spark):
     assert rates == sorted(rates, reverse=True) and len(ordered) == len(rules)
 
 
+def test_a_slow_rule_goes_behind_a_cheap_one_that_rejects_as_many(spark):
+    docs = spark.createDataFrame([(i, f"text number {i} " * 60) for i in range(300)], "doc_id long, text string")
+    slow = quality_cascade.Rule("a_slow", F.length(F.sha2(F.repeat("text", 300), 512)) > 0)
+    cheap = quality_cascade.Rule("b_cheap", F.col("n_words") > 0)
+    never = quality_cascade.Rule("c_never", F.col("n_words") < 0)
+    ordered = quality_cascade.order_rules(docs, [slow, cheap, never])
+    assert [rule.name for rule, _, _ in ordered] == ["b_cheap", "a_slow", "c_never"]
+    assert [share for _, share, _ in ordered] == [1.0, 1.0, 0.0] and ordered[1][2] > 5 * ordered[0][2]
+
+
 def spans_of(text):
     out = []
     for place, rule in enumerate(secret_scan.RULES):
