@@ -55,9 +55,9 @@ def merge_partitioned(spark, sf_dir):
     batch = _toxic(spark, sf_dir)
     parts = table.touched(batch)
     second = table.publish(_merged(table.read(parts=parts), batch), parts)
-    before, after = table.folders(first), table.folders(second)
-    differing = [p for p in after if after[p] != before.get(p)]
-    return table.read().withColumn("rewritten", table.part_of().isin(differing))
+    differing = table.differing(first, second).select("part", F.lit(True).alias("_differs"))
+    found = table.read().withColumn("part", table.part_of()).join(differing, "part", "left")
+    return found.select(*_STATE.names, F.coalesce("_differs", F.lit(False)).alias("rewritten"))
 
 
 @query(f"""WITH {_TOXIC},

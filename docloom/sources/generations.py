@@ -1,8 +1,8 @@
 """Tables that keep their published versions, and publish only the parts a batch touches.
 
 Rows are dealt to parts by an expression over their columns, such as a range or a hash of their id. A version is a
-list of folders, one per part that has rows; publishing writes the folders of the touched parts and a new list, and all other parts keep the folder they
-have. The list is one small file, written last: a version is either there with all its parts or not at all, and what
+list that names the folder of every part that has rows; publishing writes folders with the touched parts and a new list, and all other parts keep the folder they
+have. Parts share a folder from ``BANDS`` parts on, so a publish has a bounded number of folders however many parts there are. The list is one small file, written last: a version is either there with all its parts or not at all, and what
 is being read is never overwritten. Changes between two versions are looked for only in parts whose folder differs.
 
 One writer at a time publishes to a table; any number may read. A reader that needs a version for longer takes a hold
@@ -25,7 +25,8 @@ from docloom.operators.merge import change_set
 
 _VERSIONS = "number long, time timestamp, part int, folder string"
 _HOLDS = "holder string, number long, until timestamp"
-PART = "_part"
+PART, BAND, PUBLISH = "_part", "_band", "publish"
+BANDS = 256  # folders of a publish at most
 NO_PART = -1  # the row that says a version exists, also when it is empty
 
 
@@ -84,9 +85,7 @@ class VersionedTable:
 
     def read(self, number: int | None = None, parts: Iterable[int] | None = None) -> DataFrame:
         """The rows as of a version (the latest, unless it is given), of some parts or of all."""
-        folders = self.folders(self.latest() if number is None else number)
-        wanted = folders if parts is None else {p: folders[p] for p in parts if p in folders}
-        return self._rows(wanted.values())
+        return self._rows(self.latest() if number is None else number, parts)
 
     def touched(self, batch: DataFrame) -> list[int]:
         """The parts that hold the keys of ``batch``, which must have the columns that ``part`` is made of."""
@@ -99,16 +98,16 @@ class VersionedTable:
         """
         before = self.latest()
         kept = {} if parts is None else {p: f for p, f in self.folders(before).items() if p not in set(parts)}
-        folder = f"{self.path}/rows/{uuid.uuid4().hex}"
+        folder = f"{self.path}/rows/{PUBLISH}=p{uuid.uuid4().hex}"
         dealt = rows.select(*[F.col(f.name).cast(f.dataType) for f in self.schema]).withColumn(PART, self.part_of())
-        # Rows of a part together, so that it has few files; Spark splits a part that is too large for one task.
-        dealt.hint("rebalance", F.col(PART)).write.partitionBy(PART).parquet(folder)
-        whole = T.StructType([*self.schema, T.StructField(PART, T.IntegerType())])
-        written = [r[PART] for r in self.spark.read.schema(whole).parquet(folder).select(PART).distinct().collect()]
+        dealt = dealt.withColumn(BAND, F.pmod(F.col(PART), F.lit(BANDS)))
+        # Rows of a band together, so that it has few files; Spark splits a band that is too large for one task.
+        dealt.hint("rebalance", F.col(BAND)).sortWithinPartitions(BAND, PART).write.partitionBy(BAND).parquet(folder)
+        written = [r[PART] for r in self.spark.read.schema(self._stored()).parquet(folder).select(PART).distinct().collect()]
         stray = set() if parts is None else set(written) - set(parts)
         if stray:
             raise ValueError(f"rows outside the parts to be published: {sorted(stray)[:10]}")
-        self._commit(before + 1, kept | {p: f"{folder}/{PART}={p}" for p in written})
+        self._commit(before + 1, kept | {p: f"{folder}/{BAND}={p % BANDS}" for p in written})
         return before + 1
 
     def changes(self, after: int, until: int, key: str, columns: Sequence[str]) -> DataFrame:
@@ -124,9 +123,9 @@ class VersionedTable:
         feeds = []
         for old, new in zip(numbers, numbers[1:]):
             differing = sorted(p for p in lists[old].keys() | lists[new].keys() if lists[old].get(p) != lists[new].get(p))
-            sides = [self._rows(lists[n][p] for p in differing if p in lists[n]) for n in (old, new)]
+            sides = [self._rows(n, differing) for n in (old, new)]
             feeds.append(change_set(*sides, key, columns).select(F.lit(new).cast("long").alias("version"), "*"))
-        nothing = change_set(self._rows([]), self._rows([]), key, columns).select(F.lit(0).cast("long").alias("version"), "*")
+        nothing = change_set(self._none(), self._none(), key, columns).select(F.lit(0).cast("long").alias("version"), "*")
         return reduce(DataFrame.unionByName, feeds, nothing)
 
     def hold(self, holder: str, number: int, until: datetime) -> None:
@@ -166,11 +165,33 @@ class VersionedTable:
         last = holds.groupBy("holder", "number").agg(F.max(F.struct("taken", "until")).alias("last"))
         return {r.number for r in last.filter(F.col("last.until") > F.lit(now)).select("number").distinct().collect()}
 
-    def _rows(self, folders: Iterable[str]) -> DataFrame:
-        folders = list(folders)
+    def differing(self, old: int, new: int) -> DataFrame:
+        """(part) of every part whose folder is not the same in two versions, as a table: there may be many."""
+        sides = [self._list().filter((F.col("number") == n) & (F.col("part") != NO_PART)).select("part", F.col("folder").alias(name))
+                 for n, name in ((old, "_old"), (new, "_new"))]
+        return sides[0].join(sides[1], "part", "full_outer").filter(~F.col("_old").eqNullSafe(F.col("_new"))).select("part")
+
+    def _stored(self) -> T.StructType:
+        """A row as it lies in a folder; the last columns come from the folder's name."""
+        return T.StructType([*self.schema, T.StructField(PART, T.IntegerType()), T.StructField(PUBLISH, T.StringType()), T.StructField(BAND, T.IntegerType())])
+
+    def _none(self) -> DataFrame:
+        return self.spark.createDataFrame([], self.schema)
+
+    def _rows(self, number: int, parts: Iterable[int] | None) -> DataFrame:
+        """Rows of a version's parts. A folder may hold other parts, too, whose rows have moved on since."""
+        named = self.folders(number)
+        wanted = named if parts is None else {p: named[p] for p in set(parts) if p in named}
+        folders = sorted(set(wanted.values()))
         if not folders:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*folders)
+            return self._none()
+        base = f"{self.path}/rows"
+        listed = self._list().filter((F.col("number") == number) & (F.col("part") != NO_PART)).select(
+            F.col("part").alias(PART), F.regexp_extract("folder", f"/{PUBLISH}=([^/]+)/", 1).alias(PUBLISH))
+        if parts is not None:
+            listed = listed.join(self.spark.createDataFrame([(p,) for p in wanted], f"{PART} int"), PART, "left_semi")
+        found = self.spark.read.schema(self._stored()).option("basePath", base).parquet(*folders)
+        return found.join(listed, [PART, PUBLISH], "left_semi").select(*self.schema.names)
 
     def _table(self, schema: str, name: str) -> DataFrame:
         """A small table of this table's book-keeping; empty before its first row."""
