@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,7 +14,26 @@ from docloom.staging import stage
 BITS = 1 << 24
 
 
-def connected_components(edges: DataFrame) -> DataFrame:
+def _solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Nodes and least reachable nodes of all edges of a task: labels fall along edges, then each takes its label's label."""
+    parts = [np.stack([batch.column(0).to_numpy(), batch.column(1).to_numpy()]) for batch in batches if batch.num_rows]
+    if not parts:
+        return
+    nodes, at = np.unique(np.concatenate(parts, axis=1), return_inverse=True)
+    x, y = at.reshape(2, -1)
+    label, before = np.arange(len(nodes)), None
+    while before is None or (label != before).any():
+        before = label.copy()
+        least = np.minimum(before[x], before[y])
+        for ends in (x, y, before[x], before[y]):
+            np.minimum.at(label, ends, least)
+        label = label[label]
+    for a in range(0, len(nodes), 1 << 16):
+        part = slice(a, a + (1 << 16))
+        yield pa.RecordBatch.from_arrays([pa.array(nodes[part]), pa.array(nodes[label[part]])], ["node", "root"])
+
+
+def connected_components(edges: DataFrame, at_once: int = 0) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b): ``root`` is the least node of its component.
 
     Alternates two star steps until nothing moves: each node hands its larger neighbours, then its smaller
@@ -20,8 +42,12 @@ def connected_components(edges: DataFrame) -> DataFrame:
     may broadcast it or split the hub. Every round is written to the shared scratch folder, which cuts the
     lineage. Self-loops, repeats, either direction and NULLs are allowed; a NULL end drops its edge. A node
     seen only in a self-loop is its own root. An empty table gives an empty one.
+
+    ``at_once``: so many edges at most are solved in one task, in one job instead of several a round. The result is the same.
     """
     edges = edges.select("a", "b").filter("a IS NOT NULL AND b IS NOT NULL")
+    if at_once and edges.count() <= at_once:
+        return stage(edges.coalesce(1).mapInArrow(_solve, "node long, root long"), "cc-roots")
     nodes = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
     current = stage(_oriented(edges), "cc-edges")
     before = None

@@ -19,10 +19,17 @@ first pivots would leave nearly all of them in one region. The join therefore ha
 Distances are exact, from the whole shingle sets. Links are chosen so that components are exact: pairs that
 are already joined through a pivot are not measured again. Groups of equal sets are one node.
 
-Large groups of near copies share many shingles and would meet in each of their regions. So a few rounds come first in
-which every set picks one of its regions by hash and is measured against one pivot of it, a pair per set. After these
-and after every round of the recursion the links so far are joined to components: a region whose members are all of
-one component is closed, and a region with few members outside its largest component compares just those.
+Small regions are lists: their members travel once with the ends of their first pivots, a task compares all pairs of a
+list by a matrix product, and only pairs that may still be linked leave it. Lists of more than ``BLOCK`` members are cut
+into blocks, and pairs of blocks are compared, so no task holds more than two blocks at once. The nearest pairs come
+first: a list gives the few best of every component at a time, and what is still of several components after them is
+listed again, at last with all pairs (and all pairs of blocks).
+
+Large groups of near copies share many shingles and would meet in each of their regions. So a first round comes before,
+in which every set picks a few of its regions by hash and is measured against one pivot of each, the member of least
+hash, which is the same for regions of much the same members. After it and after every round of the recursion the links
+so far are joined to components: a region whose members are all of one component is closed, and a region with few members
+outside its largest component compares just those.
 """
 
 from __future__ import annotations
@@ -44,8 +51,10 @@ SHINGLE, PERCENT = 5, 75
 SKETCH_CELLS, SKETCH_ROWS, SKETCH_CHUNK, SKETCH_FAN = 1 << 21, 2, 1 << 17, 512
 REGION_BITS = 1 << 25
 # By depth of the recursion: deep regions are few, so they may compare more pairs and take more pivots at once.
-LEAF_PAIRS, PIVOTS = (10, 160, 10_000, 100_000), (4, 16, 64, 128)
-FIRST_ROUNDS = 3
+LEAF_PAIRS, PIVOTS, BEST = (1 << 24,), (4, 16, 64, 128), (4, 16, None)  # BEST: pairs of a component in a list, at last all
+LIST, BLOCK, CELLS = 4096, 256, 1 << 22  # members of a list and of a block at most (a block: about), entries of a matrix
+FIRST_PICKS = 3
+EDGES_AT_ONCE = 1 << 20  # so many links (16 MB) are joined to components in one task, more of them by star steps
 FEW = (8, 16, 64, 256)  # a region with so many members at most outside its largest component is compared directly, by depth
 ROWS_OUT = 2000
 
@@ -175,18 +184,109 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(out, pa.int64())], ["x", "y", "nx", "ny", "most"])
 
 
+def _ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, text_key, ends); ends: the last of a set's first pivots (8 bytes), then 32 bits of each of them, sorted."""
+    for batch in batches:
+        lists, out = batch.column(2), []
+        values, offsets = lists.values.to_numpy(), lists.offsets.to_numpy()
+        for a, b in zip(offsets[:-1], offsets[1:], strict=True):
+            out.append(values[b - 1:b].tobytes() + np.sort(values[a:b].astype(np.uint32)).tobytes())
+        yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(out, pa.binary())], ["key", "text_key", "ends"])
+
+
 def _bounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The most two sets can share, from their first pivots: both are known completely up to the nearer end."""
+    """The most two sets can share: of their pivots up to the nearer end those with equal bits, behind it the rest of that set."""
     for batch in batches:
         out = []
-        for nx, ny, x, y in zip(*[batch.column(i) for i in range(2, 6)], strict=True):
-            x, y = x.values.to_numpy(), y.values.to_numpy()
-            end = min(x[-1], y[-1])
-            x, y = x[:np.searchsorted(x, end, side="right")], y[:np.searchsorted(y, end, side="right")]
-            out.append(_common(x, y) + min(nx.as_py() - len(x), ny.as_py() - len(y)))
+        for nx, ny, x, y in zip(*[batch.column(i).to_pylist() for i in range(2, 6)], strict=True):
+            near, far, n = (x, y, nx) if int.from_bytes(x[:8], "little") <= int.from_bytes(y[:8], "little") else (y, x, ny)
+            near, far = np.frombuffer(near, np.uint32, offset=8), np.frombuffer(far, np.uint32, offset=8)
+            out.append(_common(near, far) + n - len(near))
         yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(out, pa.int64())], ["x", "y", "nx", "ny", "most"])
 
 
+def _shared_bits(bits: np.ndarray, owner: np.ndarray, members: int) -> np.ndarray:
+    """For all pairs of members how many of their numbers agree, at least (equal numbers of one member count each)."""
+    _, at, times = np.unique(bits, return_inverse=True, return_counts=True)
+    new = np.cumsum(times > 1) - 1
+    often = times[at] > 1
+    at, owner, width = new[at[often]], owner[often], int(new[-1]) + 1 if len(new) else 0
+    out, step = np.zeros((members, members), dtype=np.float32), max(1, CELLS // members)
+    for a in range(0, width, step):
+        part, here = slice(None), min(step, width - a)
+        if width > step:
+            part = (at >= a) & (at < a + step)
+        held = np.bincount(owner[part] * here + at[part] - a, minlength=members * here).reshape(members, here).astype(np.float32)
+        out += held @ held.T
+    return out.astype(np.int64)
+
+
+def _best(comp: np.ndarray, i: np.ndarray, j: np.ndarray, near: np.ndarray, best: int) -> np.ndarray:
+    """True for the pairs (i, j) that are among the ``best`` nearest of the component of either member."""
+    kept = np.zeros(len(i), dtype=bool)
+    owner, pair = np.concatenate([comp[i], comp[j]]), np.tile(np.arange(len(i)), 2)
+    order = np.lexsort((-near[pair], owner))
+    heads = np.flatnonzero(np.diff(owner[order], prepend=owner[order][0] - 1))
+    place = np.arange(len(order)) - np.repeat(heads, np.diff(np.append(heads, len(order))))
+    kept[pair[order[place < best]]] = True
+    return kept
+
+
+def _list_tasks(percent: int, best: int | None):
+    """Pairs of a list that may be linked, from rows in order of (region, cell): region, cell, cross, block, key, n, side, comp, ends.
+
+    A list that has more pairs than the ``best`` of every component adds a row with its region alone.
+    """
+    names = ["x", "y", "nx", "ny", "region"]
+
+    def compare(rows: pa.Table, cuts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        region, again = rows.column(0).to_numpy(), []
+        cross, block, key, n, side, comp = (rows.column(i).to_numpy() for i in range(2, 8))
+        ends = rows.column(8).to_pylist()
+        last = np.array([int.from_bytes(e[:8], "little") for e in ends], dtype=np.int64)
+        bits = [np.frombuffer(e, np.uint32, offset=8) for e in ends]
+        size = np.array([len(b) for b in bits])
+        found = []
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            if b - a < 2 or (comp[a:b] == comp[a]).all():
+                continue
+            most = _shared_bits(np.concatenate(bits[a:b]), np.repeat(np.arange(b - a), size[a:b]), b - a)
+            behind, both = (n - size)[a:b], n[a:b, None] + n[None, a:b]
+            most += np.where(last[a:b, None] <= last[None, a:b], behind[:, None], behind[None, :])
+            ok = ((100 + percent) * most >= percent * both) & (comp[a:b, None] != comp[None, a:b])
+            ok &= 100 * np.minimum(n[a:b, None], n[None, a:b]) >= percent * np.maximum(n[a:b, None], n[None, a:b])
+            ok &= (side[a:b, None] + side[None, a:b]) % 3 == 0  # 0 and 0, 1 and 2
+            if cross[a]:
+                ok &= block[a:b, None] != block[None, a:b]
+            i, j = np.nonzero(ok & (key[a:b, None] < key[None, a:b]))
+            if best is not None and len(i) > best:
+                kept = _best(comp[a:b], i, j, most[i, j] / both[i, j], best)
+                if not kept.all():
+                    i, j = i[kept], j[kept]
+                    again.append(region[a])
+            if len(i):
+                found.append(np.stack([key[a + i], key[a + j], n[a + i], n[a + j]]))
+        if found:
+            pairs = np.ascontiguousarray(np.concatenate(found, axis=1))
+            yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in pairs), pa.nulls(pairs.shape[1], pa.int64())], names)
+        if again:
+            yield pa.RecordBatch.from_arrays([*(pa.nulls(len(again), pa.int64()) for _ in names[1:]), pa.array(again, pa.int64())], names)
+
+    def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = None  # the list that may go on in the next batch
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            rows = rows if kept is None else pa.concat_tables([kept, rows])
+            region, cell = rows.column(0).to_numpy(), rows.column(1).to_numpy()
+            starts = np.flatnonzero(np.concatenate([[True], (region[1:] != region[:-1]) | (cell[1:] != cell[:-1])]))
+            yield from compare(rows, starts)
+            kept = rows.slice(starts[-1])
+        if kept is not None:
+            yield from compare(kept, np.array([0, kept.num_rows]))
+
+    return lists
+
+
 def _alive_tasks(alive: np.ndarray):
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -260,23 +360,58 @@ def _paired(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
     return both.select("x", "y", "nx", "ny", "vx", "vy")
 
 
-def _distances(pairs: DataFrame, firsts: DataFrame, sets: _Sets, percent: int) -> DataFrame:
-    """(x, y, linked, d) per pair: exact where a link is possible, else a lower bound from sizes or first pivots."""
-    pairs = stage(pairs.groupBy("x", "y").agg(F.first("nx").alias("nx"), F.first("ny").alias("ny"))
-                  .withColumn("near", F.expr(f"100 * least(nx, ny) >= {percent} * greatest(nx, ny)")), "jj-pairs")
-    schema, fits = "x long, y long, nx long, ny long, most long", F.expr(f"{100 + percent} * most >= {percent} * (nx + ny)")
-    near = pairs.filter("near")
-    firsts = _only(firsts.select("key", "pivots"), near.select(F.col("x").alias("key")).union(near.select("y")))
-    bounds = stage(_paired(near, firsts, "pivots").mapInArrow(_bounds, schema).withColumn("fits", fits), "jj-bounds")
-    likely = bounds.filter("fits")
+def _list_pairs(members: DataFrame, firsts: DataFrame, percent: int, best: int | None, across: bool) -> tuple[DataFrame, DataFrame]:
+    """(x, y, nx, ny) of pairs that may be linked, and (region) of lists that are not done with them.
+
+    ``members``: region, key, n, side, comp, size of the list. Without ``across``, only pairs inside blocks are compared.
+    """
+    rows = members.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("key", F.lit(9)), F.col("blocks")).cast("int"))
+    rows = rows.join(firsts, "key")
+    others = F.sequence(F.lit(0), F.col("blocks") - 1) if across else F.array("block")
+    rows = rows.select("*", F.explode(others).alias("with"))
+    cell = F.least("block", "with") * LIST + F.greatest("block", "with")
+    rows = rows.select("region", cell.alias("cell"), (F.col("block") != F.col("with")).alias("cross"), "block", "key", "n", "side", "comp", "ends")
+    tasks = rows.repartition("region", "cell").sortWithinPartitions("region", "cell").mapInArrow(_list_tasks(percent, best), "x long, y long, nx long, ny long, region long")
+    found = stage(tasks.distinct(), "jj-listed")
+    again = found.filter("x IS NULL").select("region")
+    if not across:
+        again = again.union(members.filter(F.col("size") > BLOCK).select("region"))
+    return found.filter("x IS NOT NULL").select("x", "y", "nx", "ny"), again
+
+
+def _exact(likely: DataFrame, sets: _Sets, percent: int) -> DataFrame:
+    """(x, y, nx, ny, most, linked) from the whole sets."""
     keys = likely.select(F.col("x").alias("key")).union(likely.select("y")).distinct()
-    exact = _paired(likely, sets.of(keys), "shingles").mapInArrow(_shared, schema).withColumn("fits", fits)
+    measured = _paired(likely, sets.of(keys), "shingles").mapInArrow(_shared, "x long, y long, nx long, ny long, most long")
+    return measured.withColumn("linked", _fits(percent))
+
+
+def _fits(percent: int) -> Column:
+    return F.expr(f"{100 + percent} * most >= {percent} * (nx + ny)")
+
+
+def _distances(pairs: DataFrame, firsts: DataFrame, sets: _Sets, percent: int, listed: DataFrame) -> DataFrame:
+    """(x, y, linked, d) per pair: exact where a link is possible, else a lower bound from sizes or first pivots.
+
+    ``listed``: pairs that may be linked, measured along.
+    """
+    pairs, bounds, likely = _likely(pairs, firsts, percent)
+    likely = stage(likely.union(listed).distinct(), "jj-likely")
     d = (1 - F.col("most") / (F.col("nx") + F.col("ny") - F.col("most"))).alias("d")
-    return (exact.select("x", "y", F.col("fits").alias("linked"), d)
+    return (_exact(likely, sets, percent).select("x", "y", "linked", d)
             .union(bounds.filter("NOT fits").select("x", "y", F.lit(False), d))
             .union(pairs.filter("NOT near").select("x", "y", F.lit(False), 1 - F.least("nx", "ny") / F.greatest("nx", "ny"))))
 
 
+def _likely(pairs: DataFrame, firsts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Distinct pairs, the bounds of those near in size, and (x, y, nx, ny) of those that may be linked."""
+    pairs = stage(pairs.groupBy("x", "y").agg(F.first("nx").alias("nx"), F.first("ny").alias("ny"))
+                  .withColumn("near", F.expr(f"100 * least(nx, ny) >= {percent} * greatest(nx, ny)")), "jj-pairs")
+    near = pairs.filter("near")
+    bounds = stage(_paired(near, firsts, "ends").mapInArrow(_bounds, "x long, y long, nx long, ny long, most long").withColumn("fits", _fits(percent)), "jj-bounds")
+    return pairs, bounds, bounds.filter("fits").select("x", "y", "nx", "ny")
+
+
 def _ordered(pairs: DataFrame) -> DataFrame:
     """(x, y, nx, ny) with x below y, from (key, n, other, on)."""
     first = F.col("key") < F.col("other")
@@ -284,12 +419,9 @@ def _ordered(pairs: DataFrame) -> DataFrame:
                         F.when(first, F.col("n")).otherwise(F.col("on")).alias("nx"), F.when(first, F.col("on")).otherwise(F.col("n")).alias("ny"))
 
 
-def _open_regions(regions: DataFrame, roots: DataFrame | None) -> DataFrame:
+def _open_regions(regions: DataFrame, roots: DataFrame) -> DataFrame:
     """Regions whose members are of several components, with the component of every member; staged."""
-    if roots is None:
-        known = regions.withColumn("comp", F.col("key"))
-    else:
-        known = regions.join(roots, F.col("key") == F.col("node"), "left").withColumn("comp", F.coalesce("root", "key")).drop("node", "root")
+    known = regions.join(roots, F.col("key") == F.col("node"), "left").withColumn("comp", F.coalesce("root", "key")).drop("node", "root")
     mixed = stage(known.groupBy(F.col("region").alias("r")).agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high").select("r"), "jj-mixed")
     return stage(known.join(mixed, F.col("region") == F.col("r"), "left_semi").select("region", "key", "n", "side", "comp"), "jj-regions")
 
@@ -301,51 +433,62 @@ def _all(links: list[DataFrame]) -> DataFrame | None:
     return out
 
 
-def _first_links(regions: DataFrame, links: list[DataFrame], firsts: DataFrame, sets: _Sets, percent: int) -> tuple[DataFrame, DataFrame | None]:
-    """A few rounds of one pair per set, as long as they find links; adds to ``links`` and returns the regions that are still open, and the components."""
-    spark, roots = regions.sparkSession, None
-    for turn in range(FIRST_ROUNDS):
-        with temporary(spark) as keep:
-            picked = regions.groupBy("key", "comp").agg(F.min(F.struct(F.xxhash64("region", F.lit(turn)).alias("h"), "region", "n")).alias("p"))
-            picked = stage(picked.select("key", "comp", F.col("p.region").alias("region"), F.col("p.n").alias("n")), "jj-picked")
-            pivots = picked.groupBy(F.col("region").alias("pr")).agg(F.min(F.struct(F.xxhash64("key", F.lit(turn)).alias("h"), "key", "n", "comp")).alias("p"))
-            pivots = stage(pivots.select("pr", F.col("p.key").alias("other"), F.col("p.n").alias("on"), F.col("p.comp").alias("of")), "jj-pivots")
-            pairs = picked.join(pivots, (F.col("region") == F.col("pr")) & (F.col("comp") != F.col("of"))).select("key", "n", "other", "on")
-            linked = _distances(_ordered(pairs), firsts, sets, percent).filter("linked")
-            found = stage(linked.select(F.col("x").alias("a"), F.col("y").alias("b")), "jj-links")
-            links.append(found)
-            keep(found, *sets.parts)
-            if found.isEmpty():
-                break
-            roots = connected_components(_all(links))
-            regions = _open_regions(regions.drop("comp"), roots)
-            keep(regions, roots)
-    return regions, roots
+def _links(measured: DataFrame) -> DataFrame:
+    return stage(measured.filter("linked").select(F.col("x").alias("a"), F.col("y").alias("b")), "jj-links")
+
+
+def _first_links(regions: DataFrame, firsts: DataFrame, sets: _Sets, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(links, regions that are still open with the component of every member) after a round of a few pairs per set."""
+    with temporary(regions.sparkSession) as keep:
+        turn = F.explode(F.sequence(F.lit(0), F.lit(FIRST_PICKS - 1))).alias("turn")
+        picked = regions.select("region", "key", "n", turn).groupBy("key", "turn").agg(F.min(F.struct(F.xxhash64("region", "turn").alias("h"), "region", "n")).alias("p"))
+        pivots = regions.groupBy(F.col("region").alias("pr")).agg(F.min(F.struct(F.xxhash64("key").alias("h"), "key", "n")).alias("p"))
+        pivots = stage(pivots.select("pr", F.col("p.key").alias("other"), F.col("p.n").alias("on")), "jj-pivots")
+        pairs = picked.join(pivots, (F.col("p.region") == F.col("pr")) & (F.col("key") != F.col("other"))).select("key", F.col("p.n").alias("n"), "other", "on")
+        found = _links(_exact(_likely(_ordered(pairs), firsts, percent)[2], sets, percent))
+        regions = _open_regions(regions, connected_components(found, EDGES_AT_ONCE))
+        keep(found, regions, *sets.parts)
+    return found, regions
 
 
 def _join_regions(regions: DataFrame, firsts: DataFrame, sets: _Sets, percent: int) -> DataFrame:
     """(node, root) of the components that all links make; sets without a link may be left out."""
-    spark, eps, links, depth = regions.sparkSession, 1 - percent / 100, [], -1
-    regions, roots = _first_links(_open_regions(regions, None), links, firsts, sets, percent)
+    spark, eps, depth = regions.sparkSession, 1 - percent / 100, -1
+    found, regions = _first_links(regions, firsts, sets, percent)
+    links = [found]
     while not regions.isEmpty():
         depth += 1
-        pairs, some, few = (steps[min(depth, len(steps) - 1)] for steps in (LEAF_PAIRS, PIVOTS, FEW))
+        pairs, some, few, best = (steps[min(depth, len(steps) - 1)] for steps in (LEAF_PAIRS, PIVOTS, FEW, BEST))
         with temporary(spark) as keep:
             parts = regions.groupBy("region", "comp").agg(*(F.count_if(F.col("side") == k).alias(f"m{k}") for k in range(3)))
+            listed = f"n0 + n1 + n2 <= {LIST} AND IF(n0 > 0, (n0 - top.m0) * n0, n1 * n2) <= {pairs}"
             size = stage(parts.groupBy(F.col("region").alias("r")).agg(
                 *(F.sum(f"m{k}").alias(f"n{k}") for k in range(3)), F.max(F.struct("m0", "comp")).alias("top"))
                 .select("r", "n0", "n1", "n2", F.col("top.comp").alias("main"),
-                        F.expr(f"IF(n0 > 0, (n0 - top.m0) * n0 <= {pairs} OR n0 - top.m0 <= {few}, n1 * n2 <= {pairs})").alias("leaf")), "jj-size")
+                        F.expr(f"CASE WHEN {listed} THEN 'list' WHEN n0 > 0 AND n0 - top.m0 <= {few} THEN 'few' ELSE 'big' END").alias("kind")), "jj-size")
+            kinds = {r.kind for r in size.select("kind").distinct().collect()}
             sized = regions.join(size, F.col("region") == F.col("r"))
-            leaf = sized.filter("leaf")
-            outside = leaf.filter("side = 1 OR side = 0 AND comp <> main")
-            met = leaf.filter("side <> 1").select(F.col("region").alias("r2"), F.col("key").alias("other"), F.col("n").alias("on"), F.col("side").alias("side2"), F.col("comp").alias("comp2"))
-            small = outside.join(met, (F.col("region") == F.col("r2")) & F.expr(
-                "comp <> comp2 AND (side = 0 AND side2 = 0 AND (comp2 = main OR key < other) OR side = 1 AND side2 = 2)"))
+            lists = sized.filter("kind = 'list'").select("region", "key", "n", "side", "comp", F.expr("n0 + n1 + n2").alias("size"))
+            likely, again = _list_pairs(lists, firsts, percent, best, depth > 0)
+            again = stage(again.distinct(), "jj-again")
+            again = lists.join(again.select(F.col("region").alias("r")), F.col("region") == F.col("r"), "left_semi").select("region", "key", "n", "side")
+            if kinds == {"list"}:
+                found = _links(_exact(likely, sets, percent))
+                links.append(found)
+                if best is None:
+                    keep(found)
+                    break
+                regions = _open_regions(again, connected_components(_all(links), EDGES_AT_ONCE))
+                keep(found, regions, *sets.parts)
+                continue
+            leaf = sized.filter("kind = 'few'")
+            outside = leaf.filter("comp <> main")
+            met = leaf.select(F.col("region").alias("r2"), F.col("key").alias("other"), F.col("n").alias("on"), F.col("comp").alias("comp2"))
+            small = outside.join(met, (F.col("region") == F.col("r2")) & F.expr("comp <> comp2 AND (comp2 = main OR key < other)"))
             # Pivots: the least hash of each of a few slots, of the side that shrinks; min() is combined before the shuffle.
             # A ring that fits is measured whole; else ball members are pivots, and a ring member needs one link to be done.
             by = F.when(F.col("n0") > 0, 0).when(F.col("n2") <= some, 2).otherwise(1)
-            big = stage(sized.filter("NOT leaf").select("region", "key", "n", "side", by.alias("by")), "jj-big")
+            big = stage(sized.filter("kind = 'big'").select("region", "key", "n", "side", by.alias("by")), "jj-big")
             # The hash is of the set alone, so regions with much the same members pick the same pivots.
             mixed = F.xxhash64("key", F.lit(depth))
             slot = F.when(F.col("by") == 2, F.pmod(mixed, F.lit(16 * some))).otherwise(F.pmod(mixed, F.lit(some)))
@@ -356,18 +499,15 @@ def _join_regions(regions: DataFrame, firsts: DataFrame, sets: _Sets, percent: i
             measured = stage(against.select("region", "key", "n", "side", "pivot", "pn"), "jj-measured")
             wide = measured.select("key", "n", F.col("pivot").alias("other"), F.col("pn").alias("on"))
             asked = _ordered(small.select("key", "n", "other", "on").union(wide))
-            dist = stage(_distances(asked, firsts, sets, percent), "jj-dist")
-            found = stage(dist.filter("linked").select(F.col("x").alias("a"), F.col("y").alias("b")), "jj-links")
+            dist = stage(_distances(asked, firsts, sets, percent, likely), "jj-dist")
+            found = _links(dist)
             links.append(found)
             seen = measured.join(dist, (F.least("key", "pivot") == F.col("x")) & (F.greatest("key", "pivot") == F.col("y"))) \
                 .select("region", "key", "n", "side", "pivot", "linked", "d")
-            after = stage(_next_regions(big, pivots, stage(seen, "jj-seen"), eps, depth), "jj-next")
-            if not found.isEmpty():
-                roots = connected_components(_all(links))
-                keep(roots)
-            regions = _open_regions(after, roots) if not after.isEmpty() else after
+            after = stage(_next_regions(big, pivots, stage(seen, "jj-seen"), eps, depth).union(again), "jj-next")
+            regions = _open_regions(after, connected_components(_all(links), EDGES_AT_ONCE))
             keep(found, regions, *sets.parts)
-    return spark.createDataFrame([], "node long, root long") if roots is None else roots
+    return connected_components(_all(links), EDGES_AT_ONCE)
 
 
 def _next_regions(big: DataFrame, pivots: DataFrame, seen: DataFrame, eps: float, depth: int) -> DataFrame:
@@ -413,8 +553,9 @@ def _rooted(docs: DataFrame, size: int, percent: int) -> DataFrame:
         regions = _regions(homes.filter("key IS NOT NULL"))
         active = regions.select(F.col("key").alias("k")).distinct()
         held = homes.join(active, F.col("key") == F.col("k"), "left_semi")
-        firsts = stage(held.select("key", "pivots").dropDuplicates(["key"]), "jj-firsts")
-        texts = stage(held.groupBy("key").agg(F.min("text_key").alias("text_key")), "jj-texts")
+        firsts = held.groupBy("key").agg(F.min("text_key").alias("text_key"), F.first("pivots").alias("pivots"))
+        texts = stage(firsts.mapInArrow(_ends, "key long, text_key long, ends binary"), "jj-firsts")
+        firsts = texts.select("key", "ends")
         roots = _join_regions(regions, firsts, _Sets(docs, texts, size), percent)
         rows = homes.select("doc_id", "text_key", F.col("n").alias("n_shingles"), "key")
         out = stage(rows.join(roots, F.col("key") == F.col("node"), "left")
