@@ -26,7 +26,7 @@ from docloom.llm.wordhash import span_hashes, text_blocks, word_bounds
 
 DIM, REACH, LAGS = 32, 2, 3
 WORD_ROWS, SHAPE_ROWS = 1 << 13, 1 << 9
-PIECE = 1 << 17  # words worked on at once
+PIECE = 1 << 12  # words worked on at once: their columns (2 MB) stay in the cache of a core
 LABELLED, HIDDEN, ROUNDS, RATE, DECAY = 8_000, 24, 40, 0.004, 1e-4
 THRESHOLD = 0.3
 SEED = 7
