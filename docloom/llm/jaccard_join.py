@@ -19,11 +19,12 @@ first pivots would leave nearly all of them in one region. The join therefore ha
 Distances are exact, from the whole shingle sets. Links are chosen so that components are exact: pairs that
 are already joined through a pivot are not measured again. Groups of equal sets are one node.
 
-Small regions are lists: their members travel once with the ends of their first pivots, a task compares all pairs of a
-list by a matrix product, and only pairs that may still be linked leave it. Lists of more than ``BLOCK`` members are cut
-into blocks, and pairs of blocks are compared, so no task holds more than two blocks at once. The nearest pairs come
-first: a list gives the few best of every component at a time, and what is still of several components after them is
-listed again, at last with all pairs (and all pairs of blocks).
+Small regions are lists: their members travel once with 16 bits of each first pivot, a task compares all pairs of a
+list, and only pairs that may still be linked leave it. Members are taken in order of size, in blocks of ``BLOCK``, and
+two blocks that are too far apart in size are not compared. A task holds one list at a time, which is bounded by
+``LIST`` members and ``LIST_SHINGLES`` shingles. The nearest pairs come first: a list gives the few best of every
+component at a time, and what is still of several components after them is listed again, at last with all pairs (and
+all pairs of blocks).
 
 Large groups of near copies share many shingles and would meet in each of their regions. So a first round comes before,
 in which every set picks a few of its regions by hash and is measured against one pivot of each, the member of least
@@ -52,7 +53,9 @@ SKETCH_CELLS, SKETCH_ROWS, SKETCH_CHUNK, SKETCH_FAN = 1 << 21, 2, 1 << 17, 512
 REGION_BITS = 1 << 25
 # By depth of the recursion: deep regions are few, so they may compare more pairs and take more pivots at once.
 LEAF_PAIRS, PIVOTS, BEST = (1 << 24,), (4, 16, 64, 128), (4, 16, None)  # BEST: pairs of a component in a list, at last all
-LIST, BLOCK, CELLS = 4096, 256, 1 << 22  # members of a list and of a block at most (a block: about), entries of a matrix
+LIST, BLOCK, CELLS = 4096, 256, 1 << 22  # members of a list and of a block at most, entries of a matrix
+LIST_SHINGLES = 1 << 26  # of all members of a list: 32 MB of pivots in a task
+RARE = 16  # a number that so many members share at most is counted pair by pair, not in a matrix
 FIRST_PICKS = 3
 EDGES_AT_ONCE = 1 << 20  # so many links (16 MB) are joined to components in one task, more of them by star steps
 FEW = (8, 16, 64, 256)  # a region with so many members at most outside its largest component is compared directly, by depth
@@ -185,12 +188,15 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, text_key, ends); ends: the last of a set's first pivots (8 bytes), then 32 bits of each of them, sorted."""
+    """(key, text_key, ends); ends: the last of a set's first pivots (8 bytes), then 16 bits of each of them, sorted.
+
+    Equal pivots have equal bits, so what is counted from them is an upper bound; only few strangers agree by chance.
+    """
     for batch in batches:
         lists, out = batch.column(2), []
         values, offsets = lists.values.to_numpy(), lists.offsets.to_numpy()
         for a, b in zip(offsets[:-1], offsets[1:], strict=True):
-            out.append(values[b - 1:b].tobytes() + np.sort(values[a:b].astype(np.uint32)).tobytes())
+            out.append(values[b - 1:b].tobytes() + np.sort(values[a:b].astype(np.uint16)).tobytes())
         yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(out, pa.binary())], ["key", "text_key", "ends"])
 
 
@@ -200,25 +206,33 @@ def _bounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
         for nx, ny, x, y in zip(*[batch.column(i).to_pylist() for i in range(2, 6)], strict=True):
             near, far, n = (x, y, nx) if int.from_bytes(x[:8], "little") <= int.from_bytes(y[:8], "little") else (y, x, ny)
-            near, far = np.frombuffer(near, np.uint32, offset=8), np.frombuffer(far, np.uint32, offset=8)
+            near, far = np.frombuffer(near, np.uint16, offset=8), np.frombuffer(far, np.uint16, offset=8)
             out.append(_common(near, far) + n - len(near))
         yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(out, pa.int64())], ["x", "y", "nx", "ny", "most"])
 
 
 def _shared_bits(bits: np.ndarray, owner: np.ndarray, members: int) -> np.ndarray:
-    """For all pairs of members how many of their numbers agree, at least (equal numbers of one member count each)."""
-    _, at, times = np.unique(bits, return_inverse=True, return_counts=True)
-    new = np.cumsum(times > 1) - 1
-    often = times[at] > 1
-    at, owner, width = new[at[often]], owner[often], int(new[-1]) + 1 if len(new) else 0
-    out, step = np.zeros((members, members), dtype=np.float32), max(1, CELLS // members)
+    """For all pairs of different members how many of their numbers agree, at least (equal numbers of one member count each)."""
+    order = np.argsort(bits, kind="stable")
+    owner, heads = owner[order], np.flatnonzero(np.diff(bits[order], prepend=-1))
+    times = np.diff(np.append(heads, len(order)))
+    left = np.repeat(times, times) - np.arange(len(order)) + np.repeat(heads, times) - 1  # so many follow with the same number
+    left[np.repeat(times > RARE, times)] = 0
+    pairs = [np.zeros(0, dtype=np.int64)]
+    for step in range(1, int(left.max(initial=0)) + 1):
+        at = np.flatnonzero(left >= step)
+        pairs.append(owner[at] * members + owner[at + step])
+    out = np.bincount(np.concatenate(pairs), minlength=members * members).reshape(members, members)
+    out += out.T
+    often = np.repeat(times > RARE, times)
+    owner, at = owner[often], np.repeat(np.arange((times > RARE).sum()), times[times > RARE])
+    width, step = int((times > RARE).sum()), max(1, CELLS // members)
+    total = np.zeros((members, members), dtype=np.float32)
     for a in range(0, width, step):
-        part, here = slice(None), min(step, width - a)
-        if width > step:
-            part = (at >= a) & (at < a + step)
+        part, here = slice(*np.searchsorted(at, [a, a + step])), min(step, width - a)
         held = np.bincount(owner[part] * here + at[part] - a, minlength=members * here).reshape(members, here).astype(np.float32)
-        out += held @ held.T
-    return out.astype(np.int64)
+        total += held @ held.T
+    return out + total.astype(np.int64)
 
 
 def _best(comp: np.ndarray, i: np.ndarray, j: np.ndarray, near: np.ndarray, best: int) -> np.ndarray:
@@ -232,40 +246,59 @@ def _best(comp: np.ndarray, i: np.ndarray, j: np.ndarray, near: np.ndarray, best
     return kept
 
 
-def _list_tasks(percent: int, best: int | None):
-    """Pairs of a list that may be linked, from rows in order of (region, cell): region, cell, cross, block, key, n, side, comp, ends.
+def _list_tasks(percent: int, best: int | None, across: bool):
+    """Pairs of a list that may be linked, from rows in order of (region, n): region, key, n, side, comp, ends.
 
-    A list that has more pairs than the ``best`` of every component adds a row with its region alone.
+    Without ``across``, only pairs inside blocks are compared. A list that has more pairs than those, or than the
+    ``best`` of every component, adds a row with its region alone.
     """
     names = ["x", "y", "nx", "ny", "region"]
 
-    def compare(rows: pa.Table, cuts: np.ndarray) -> Iterator[pa.RecordBatch]:
-        region, again = rows.column(0).to_numpy(), []
-        cross, block, key, n, side, comp = (rows.column(i).to_numpy() for i in range(2, 8))
-        ends = rows.column(8).to_pylist()
+    def compare(part: list[np.ndarray], bits: list[np.ndarray], blocks: tuple[slice, ...]) -> tuple[np.ndarray | None, bool]:
+        """Pairs inside a block, or between two, and whether there are more."""
+        key, n, side, comp, last, size = (np.concatenate([x[block] for block in blocks]) for x in part)
+        if (comp == comp[0]).all():
+            return None, False
+        own = [b for block in blocks for b in bits[block]]
+        most = _shared_bits(np.concatenate(own).astype(np.int64), np.repeat(np.arange(len(n)), size), len(n))
+        behind, both = n - size, n[:, None] + n[None, :]
+        most += np.where(last[:, None] <= last[None, :], behind[:, None], behind[None, :])
+        ok = ((100 + percent) * most >= percent * both) & (comp[:, None] != comp[None, :])
+        ok &= 100 * np.minimum(n[:, None], n[None, :]) >= percent * np.maximum(n[:, None], n[None, :])
+        ok &= (side[:, None] + side[None, :]) % 3 == 0  # 0 and 0, 1 and 2
+        if len(blocks) > 1:
+            first = blocks[0].stop - blocks[0].start
+            ok[:first, :first] = ok[first:, first:] = False
+        i, j = np.nonzero(ok & (key[:, None] < key[None, :]))
+        more = False
+        if best is not None and len(i) > best:
+            kept = _best(comp, i, j, most[i, j] / both[i, j], best)
+            more = not kept.all()
+            i, j = i[kept], j[kept]
+        return np.stack([key[i], key[j], n[i], n[j]]) if len(i) else None, more
+
+    def compared(rows: pa.Table, cuts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        region, key, n, side, comp = (rows.column(i).to_numpy() for i in range(5))
+        ends = rows.column(5).to_pylist()
         last = np.array([int.from_bytes(e[:8], "little") for e in ends], dtype=np.int64)
-        bits = [np.frombuffer(e, np.uint32, offset=8) for e in ends]
-        size = np.array([len(b) for b in bits])
-        found = []
+        bits = [np.frombuffer(e, np.uint16, offset=8) for e in ends]
+        part = [key, n, side, comp, last, np.array([len(b) for b in bits])]
+        found, again = [], []
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
             if b - a < 2 or (comp[a:b] == comp[a]).all():
                 continue
-            most = _shared_bits(np.concatenate(bits[a:b]), np.repeat(np.arange(b - a), size[a:b]), b - a)
-            behind, both = (n - size)[a:b], n[a:b, None] + n[None, a:b]
-            most += np.where(last[a:b, None] <= last[None, a:b], behind[:, None], behind[None, :])
-            ok = ((100 + percent) * most >= percent * both) & (comp[a:b, None] != comp[None, a:b])
-            ok &= 100 * np.minimum(n[a:b, None], n[None, a:b]) >= percent * np.maximum(n[a:b, None], n[None, a:b])
-            ok &= (side[a:b, None] + side[None, a:b]) % 3 == 0  # 0 and 0, 1 and 2
-            if cross[a]:
-                ok &= block[a:b, None] != block[None, a:b]
-            i, j = np.nonzero(ok & (key[a:b, None] < key[None, a:b]))
-            if best is not None and len(i) > best:
-                kept = _best(comp[a:b], i, j, most[i, j] / both[i, j], best)
-                if not kept.all():
-                    i, j = i[kept], j[kept]
-                    again.append(region[a])
-            if len(i):
-                found.append(np.stack([key[a + i], key[a + j], n[a + i], n[a + j]]))
+            blocks = [slice(k, min(k + BLOCK, b)) for k in range(a, b, BLOCK)]
+            chosen = [(x,) for x in blocks]
+            if across:
+                chosen += [(x, y) for i, x in enumerate(blocks) for y in blocks[i + 1:] if 100 * n[x.stop - 1] >= percent * n[y.start]]
+            more = not across and len(blocks) > 1
+            for pair in chosen:
+                pairs, left = compare(part, bits, pair)
+                more |= left
+                if pairs is not None:
+                    found.append(pairs)
+            if more:
+                again.append(region[a])
         if found:
             pairs = np.ascontiguousarray(np.concatenate(found, axis=1))
             yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in pairs), pa.nulls(pairs.shape[1], pa.int64())], names)
@@ -277,12 +310,12 @@ def _list_tasks(percent: int, best: int | None):
         for batch in batches:
             rows = pa.Table.from_batches([batch])
             rows = rows if kept is None else pa.concat_tables([kept, rows])
-            region, cell = rows.column(0).to_numpy(), rows.column(1).to_numpy()
-            starts = np.flatnonzero(np.concatenate([[True], (region[1:] != region[:-1]) | (cell[1:] != cell[:-1])]))
-            yield from compare(rows, starts)
+            region = rows.column(0).to_numpy()
+            starts = np.flatnonzero(np.concatenate([[True], region[1:] != region[:-1]]))
+            yield from compared(rows, starts)
             kept = rows.slice(starts[-1])
         if kept is not None:
-            yield from compare(kept, np.array([0, kept.num_rows]))
+            yield from compared(kept, np.array([0, kept.num_rows]))
 
     return lists
 
@@ -363,20 +396,14 @@ def _paired(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
 def _list_pairs(members: DataFrame, firsts: DataFrame, percent: int, best: int | None, across: bool) -> tuple[DataFrame, DataFrame]:
     """(x, y, nx, ny) of pairs that may be linked, and (region) of lists that are not done with them.
 
-    ``members``: region, key, n, side, comp, size of the list. Without ``across``, only pairs inside blocks are compared.
+    ``members``: region, key, n, side, comp. Without ``across``, only pairs inside blocks are compared.
     """
-    rows = members.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("key", F.lit(9)), F.col("blocks")).cast("int"))
-    rows = rows.join(firsts, "key")
-    others = F.sequence(F.lit(0), F.col("blocks") - 1) if across else F.array("block")
-    rows = rows.select("*", F.explode(others).alias("with"))
-    cell = F.least("block", "with") * LIST + F.greatest("block", "with")
-    rows = rows.select("region", cell.alias("cell"), (F.col("block") != F.col("with")).alias("cross"), "block", "key", "n", "side", "comp", "ends")
-    tasks = rows.repartition("region", "cell").sortWithinPartitions("region", "cell").mapInArrow(_list_tasks(percent, best), "x long, y long, nx long, ny long, region long")
+    if across:  # few are left
+        firsts = _only(firsts, members.select("key"))
+    rows = members.join(firsts, "key").select("region", "key", "n", "side", "comp", "ends")
+    tasks = rows.repartition("region").sortWithinPartitions("region", "n").mapInArrow(_list_tasks(percent, best, across), "x long, y long, nx long, ny long, region long")
     found = stage(tasks.distinct(), "jj-listed")
-    again = found.filter("x IS NULL").select("region")
-    if not across:
-        again = again.union(members.filter(F.col("size") > BLOCK).select("region"))
-    return found.filter("x IS NOT NULL").select("x", "y", "nx", "ny"), again
+    return found.filter("x IS NOT NULL").select("x", "y", "nx", "ny"), found.filter("x IS NULL").select("region")
 
 
 def _exact(likely: DataFrame, sets: _Sets, percent: int) -> DataFrame:
@@ -460,17 +487,16 @@ def _join_regions(regions: DataFrame, firsts: DataFrame, sets: _Sets, percent: i
         depth += 1
         pairs, some, few, best = (steps[min(depth, len(steps) - 1)] for steps in (LEAF_PAIRS, PIVOTS, FEW, BEST))
         with temporary(spark) as keep:
-            parts = regions.groupBy("region", "comp").agg(*(F.count_if(F.col("side") == k).alias(f"m{k}") for k in range(3)))
-            listed = f"n0 + n1 + n2 <= {LIST} AND IF(n0 > 0, (n0 - top.m0) * n0, n1 * n2) <= {pairs}"
+            parts = regions.groupBy("region", "comp").agg(*(F.count_if(F.col("side") == k).alias(f"m{k}") for k in range(3)), F.sum("n").alias("held"))
+            listed = f"n0 + n1 + n2 <= {LIST} AND held <= {LIST_SHINGLES} AND IF(n0 > 0, (n0 - top.m0) * n0, n1 * n2) <= {pairs}"
             size = stage(parts.groupBy(F.col("region").alias("r")).agg(
-                *(F.sum(f"m{k}").alias(f"n{k}") for k in range(3)), F.max(F.struct("m0", "comp")).alias("top"))
+                *(F.sum(f"m{k}").alias(f"n{k}") for k in range(3)), F.max(F.struct("m0", "comp")).alias("top"), F.sum("held").alias("held"))
                 .select("r", "n0", "n1", "n2", F.col("top.comp").alias("main"),
                         F.expr(f"CASE WHEN {listed} THEN 'list' WHEN n0 > 0 AND n0 - top.m0 <= {few} THEN 'few' ELSE 'big' END").alias("kind")), "jj-size")
             kinds = {r.kind for r in size.select("kind").distinct().collect()}
             sized = regions.join(size, F.col("region") == F.col("r"))
-            lists = sized.filter("kind = 'list'").select("region", "key", "n", "side", "comp", F.expr("n0 + n1 + n2").alias("size"))
+            lists = sized.filter("kind = 'list'").select("region", "key", "n", "side", "comp")
             likely, again = _list_pairs(lists, firsts, percent, best, depth > 0)
-            again = stage(again.distinct(), "jj-again")
             again = lists.join(again.select(F.col("region").alias("r")), F.col("region") == F.col("r"), "left_semi").select("region", "key", "n", "side")
             if kinds == {"list"}:
                 found = _links(_exact(likely, sets, percent))
@@ -547,17 +573,20 @@ def _next_regions(big: DataFrame, pivots: DataFrame, seen: DataFrame, eps: float
 def _rooted(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """(doc_id, text_key, n_shingles, root) per row; root is NULL for texts without words."""
     docs = docs.select("doc_id", "text", _text_key().alias("text_key"))
-    with temporary(docs.sparkSession) as keep:
-        classes = pivot_classes(docs, size)
-        homes = stage(docs.mapInArrow(_home_tasks(classes, size, percent), "doc_id long, text_key long, n long, key long, pivots array<long>"), "jj-homes")
-        regions = _regions(homes.filter("key IS NOT NULL"))
-        active = regions.select(F.col("key").alias("k")).distinct()
-        held = homes.join(active, F.col("key") == F.col("k"), "left_semi")
-        firsts = held.groupBy("key").agg(F.min("text_key").alias("text_key"), F.first("pivots").alias("pivots"))
-        texts = stage(firsts.mapInArrow(_ends, "key long, text_key long, ends binary"), "jj-firsts")
+    spark = docs.sparkSession
+    with temporary(spark) as keep:
+        with temporary(spark) as keep_small:  # the pivots of all sets, the largest table, go before regions are joined
+            classes = pivot_classes(docs, size)
+            homes = stage(docs.mapInArrow(_home_tasks(classes, size, percent), "doc_id long, text_key long, n long, key long, pivots array<long>"), "jj-homes")
+            regions = _regions(homes.filter("key IS NOT NULL"))
+            active = stage(regions.select(F.col("key").alias("k")).distinct(), "jj-active")
+            ends = _only(homes.filter("key IS NOT NULL").select("key", "text_key", "pivots"), active.select(F.col("k").alias("key"))).mapInArrow(_ends, "key long, text_key long, ends binary")
+            firsts = ends.join(active, F.col("key") == F.col("k"), "left_semi").groupBy("key").agg(F.min("text_key").alias("text_key"), F.first("ends").alias("ends"))
+            texts = stage(firsts, "jj-firsts")
+            rows = stage(homes.select("doc_id", "text_key", F.col("n").alias("n_shingles"), "key"), "jj-rows")
+            keep_small(regions, texts, rows)
         firsts = texts.select("key", "ends")
         roots = _join_regions(regions, firsts, _Sets(docs, texts, size), percent)
-        rows = homes.select("doc_id", "text_key", F.col("n").alias("n_shingles"), "key")
         out = stage(rows.join(roots, F.col("key") == F.col("node"), "left")
                     .select("doc_id", "text_key", "n_shingles", F.coalesce("root", "key").alias("root")), "jj-rooted")
         keep(out)

@@ -18,6 +18,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 _OPEN: list[list[tuple[str, DataFrame]]] = []
+_FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -54,14 +55,21 @@ def temporary(spark: SparkSession) -> Iterator[Callable[..., None]]:
     """Frames staged inside go at the end, but for those handed to the function this gives.
 
     What is handed out of the block must read no other staged frame of it. Blocks may be nested: what an inner
-    one keeps lasts as long as the outer one.
+    one keeps lasts as long as the outer one. Inside, Spark drops the shuffle files of a query when the query ends,
+    not when the driver collects its garbage.
     """
+    before = spark.conf.get(_FREE, None)
+    spark.conf.set(_FREE, "true")
     made: list[tuple[str, DataFrame]] = []
     kept: list[DataFrame] = []
     _OPEN.append(made)
     try:
         yield lambda *frames: kept.extend(frames)
     finally:
+        if before is None:
+            spark.conf.unset(_FREE)
+        else:
+            spark.conf.set(_FREE, before)
         _OPEN.pop()
         for path, frame in made:
             if any(frame is k for k in kept):

@@ -1,9 +1,14 @@
-"""Lists, blocks and turns of the Jaccard join, its number of jobs, and components in one task."""
+"""Lists, blocks and turns of the Jaccard join, its number of jobs and files, and components in one task."""
 
 import random
+import time
+from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from docloom.llm import graphs, jaccard_join
+from docloom.staging import scratch_root, stage, temporary
 from test_pairs import components, near_copies, table
 
 
@@ -36,3 +41,53 @@ def test_components_in_one_task(spark, at_once):
                 root[a] = root[b] = min(root[a], root[b])
     frame = spark.createDataFrame(edges, "a long, b long")
     assert {r.node: r.root for r in graphs.connected_components(frame, at_once).collect()} == root
+
+
+def test_shared_bits_counts_rare_and_common_numbers(monkeypatch):
+    rng = np.random.default_rng(5)
+    bits, owner = rng.integers(0, 40, 300), np.sort(rng.integers(0, 12, 300))
+    want = [[sum((bits[owner == j] == b).sum() for b in bits[owner == i]) for j in range(12)] for i in range(12)]
+    monkeypatch.setattr(jaccard_join, "CELLS", 64)
+    for rare in (0, 6, 100):
+        monkeypatch.setattr(jaccard_join, "RARE", rare, raising=False)
+        got = jaccard_join._shared_bits(bits, owner, 12)
+        assert all(got[i][j] == want[i][j] for i in range(12) for j in range(12) if i != j)
+
+
+def test_a_pivot_travels_as_two_bytes():
+    pivots = pa.array([[1 << 58 | 70_000, 1 << 59 | 5], [9]], pa.list_(pa.int64()))
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array([3, 4]), pivots], ["key", "text_key", "pivots"])
+    ends = next(jaccard_join._ends(iter([batch]))).column(2).to_pylist()
+    assert [len(e) for e in ends] == [12, 10] and int.from_bytes(ends[0][:8], "little") == 1 << 59 | 5
+
+
+def test_pivots_of_all_sets_go_before_regions_are_joined(spark, monkeypatch):
+    folder, left = Path(scratch_root(spark).removeprefix("file:")), []
+    before = set(folder.iterdir())
+
+    def joined(*args, f=jaccard_join._join_regions):
+        left.extend(p.name.split("-")[1] for p in set(folder.iterdir()) - before)
+        return f(*args)
+
+    monkeypatch.setattr(jaccard_join, "_join_regions", joined)
+    rows = near_copies(11, 3, 4)
+    assert result(spark, rows) == components(rows)
+    assert "regions" in left and not {"homes", "members"} & set(left)
+
+
+def test_shuffle_files_go_with_their_query(spark):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        files = manager.getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size())} if files.size() else set()
+
+    before = spark.conf.get(name, None)
+    old = {f for f in shuffles() if f.startswith("shuffle_")}
+    with temporary(spark):
+        stage(spark.range(1000).groupBy("id").count(), "t")
+        until = time.time() + 20
+        while (new := {f for f in shuffles() if f.startswith("shuffle_")} - old) and time.time() < until:
+            time.sleep(0.2)
+    assert not new and spark.conf.get(name, None) == before
