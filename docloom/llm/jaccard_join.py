@@ -374,8 +374,11 @@ class _Sets:
         return _only(out, keys_of)
 
 
-def _only(table: DataFrame, keys: DataFrame) -> DataFrame:
-    """Rows of ``table`` (key first) whose key passes a filter of ``keys``, so that a join with few keys shuffles few rows."""
+def _only(table: DataFrame, keys: DataFrame, then=None, schema: str | None = None) -> DataFrame:
+    """Rows of ``table`` (key first) whose key passes a filter of ``keys``, so that a join with few keys shuffles few rows.
+
+    ``then``: further work on their batches, which gives ``schema``; in the same Python worker, not in a second one behind it.
+    """
     wanted, names = bit_filter(keys, "key", REGION_BITS), table.columns
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -384,7 +387,7 @@ def _only(table: DataFrame, keys: DataFrame) -> DataFrame:
             for a in range(0, len(rows), ROWS_OUT):
                 yield pa.RecordBatch.from_arrays([c.take(pa.array(rows[a:a + ROWS_OUT])) for c in batch.columns], names)
 
-    return table.mapInArrow(keep, table.schema)
+    return table.mapInArrow(lambda batches: then(keep(batches)) if then else keep(batches), schema or table.schema)
 
 
 def _paired(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
@@ -580,7 +583,7 @@ def _rooted(docs: DataFrame, size: int, percent: int) -> DataFrame:
             homes = stage(docs.mapInArrow(_home_tasks(classes, size, percent), "doc_id long, text_key long, n long, key long, pivots array<long>"), "jj-homes")
             regions = _regions(homes.filter("key IS NOT NULL"))
             active = stage(regions.select(F.col("key").alias("k")).distinct(), "jj-active")
-            ends = _only(homes.filter("key IS NOT NULL").select("key", "text_key", "pivots"), active.select(F.col("k").alias("key"))).mapInArrow(_ends, "key long, text_key long, ends binary")
+            ends = _only(homes.filter("key IS NOT NULL").select("key", "text_key", "pivots"), active.select(F.col("k").alias("key")), _ends, "key long, text_key long, ends binary")
             firsts = ends.join(active, F.col("key") == F.col("k"), "left_semi").groupBy("key").agg(F.min("text_key").alias("text_key"), F.first("ends").alias("ends"))
             texts = stage(firsts, "jj-firsts")
             rows = stage(homes.select("doc_id", "text_key", F.col("n").alias("n_shingles"), "key"), "jj-rows")
