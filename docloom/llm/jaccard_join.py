@@ -312,7 +312,7 @@ def _list_tasks(percent: int, best: int | None, across: bool):
             rows = rows if kept is None else pa.concat_tables([kept, rows])
             region = rows.column(0).to_numpy()
             starts = np.flatnonzero(np.concatenate([[True], region[1:] != region[:-1]]))
-            yield from compared(rows, starts)
+            yield from compared(rows.slice(0, starts[-1]), starts)
             kept = rows.slice(starts[-1])
         if kept is not None:
             yield from compared(kept, np.array([0, kept.num_rows]))

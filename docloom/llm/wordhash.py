@@ -2,7 +2,8 @@
 
 A word is a run of bytes other than the six ASCII white-space characters (``[^\\x20\\x09-\\x0D]+``); A-Z are
 lower-cased before hashing. Everything works on UTF-8 bytes, so any script is kept whole. Texts are taken
-in blocks of a few MB (one text alone when it is longer), which bounds memory by the longest text.
+in blocks of 256 KB (one text alone when it is longer), which bounds memory by the longest text: a block takes
+about a hundred bytes of arrays for each of its own.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 2_000_000
+BLOCK_BYTES = 1 << 18
 
 _SPACES = np.zeros(256, dtype=bool)
 _SPACES[[9, 10, 11, 12, 13, 32]] = True
