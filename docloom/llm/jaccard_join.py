@@ -390,9 +390,11 @@ def _only(table: DataFrame, keys: DataFrame, then=None, schema: str | None = Non
     return table.mapInArrow(lambda batches: then(keep(batches)) if then else keep(batches), schema or table.schema)
 
 
-def _paired(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
+def _paired(pairs: DataFrame, table: DataFrame, column: str, apart: bool = False) -> DataFrame:
+    """``apart``: a shuffle parts Python work in ``table`` from what follows, so a task needs one worker even if pairs would be broadcast."""
     left = pairs.join(table.select(F.col("key").alias("x"), F.col(column).alias("vx")), "x")
-    both = left.join(table.select(F.col("key").alias("y"), F.col(column).alias("vy")), "y")
+    right = table.select(F.col("key").alias("y"), F.col(column).alias("vy"))
+    both = left.join(right.hint("merge") if apart else right, "y")
     return both.select("x", "y", "nx", "ny", "vx", "vy")
 
 
@@ -412,7 +414,7 @@ def _list_pairs(members: DataFrame, firsts: DataFrame, percent: int, best: int |
 def _exact(likely: DataFrame, sets: _Sets, percent: int) -> DataFrame:
     """(x, y, nx, ny, most, linked) from the whole sets."""
     keys = likely.select(F.col("x").alias("key")).union(likely.select("y")).distinct()
-    measured = _paired(likely, sets.of(keys), "shingles").mapInArrow(_shared, "x long, y long, nx long, ny long, most long")
+    measured = _paired(likely, sets.of(keys), "shingles", apart=True).mapInArrow(_shared, "x long, y long, nx long, ny long, most long")
     return measured.withColumn("linked", _fits(percent))
 
 

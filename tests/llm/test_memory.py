@@ -6,7 +6,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pytest
-from docloom.llm import decontaminate, jaccard_join
+from docloom.llm import decontaminate, jaccard_join, secret_scan
 from docloom.llm.wordhash import shingle_sets
 from docloom.staging import scratch_root, temporary
 from pyspark.sql import functions as F
@@ -73,3 +73,30 @@ def test_a_leak_search_leaves_its_result_alone(spark):
     leaks = decontaminate.find_leaks(docs, spark.createDataFrame([(7, text)], "item_id long, text string"))
     assert {p.name.split("-")[0] for p in set(folder.iterdir()) - before} == {"leaks"}
     assert [r.item_id for r in leaks.collect()] == [7]
+
+
+def test_sets_are_measured_by_one_worker_a_task(spark):
+    sets = spark.createDataFrame([(k, np.arange(k, k + 9, dtype=np.uint64).tobytes()) for k in range(40)], "key long, shingles binary")
+    pairs = spark.createDataFrame([(k, k + 1, 9, 9) for k in range(30)], "x long, y long, nx long, ny long")
+
+    class Kept:
+        def of(self, keys):
+            return jaccard_join._only(sets, keys)
+
+    measured = jaccard_join._exact(pairs, Kept(), 75)
+    plan = measured._jdf.queryExecution().executedPlan().toString()
+    above = plan[plan.index("MapInArrow") + 1:]
+    assert "SortMergeJoin" in above[:above.index("MapInArrow")]
+    assert sorted((r.x, r.most, r.linked) for r in measured.collect()) == [(k, 8, True) for k in range(30)]
+
+
+def test_a_scan_takes_no_rows_through_python(spark, monkeypatch):
+    def refused(*args, **kwargs):
+        raise AssertionError("rows from the driver")
+
+    docs = spark.createDataFrame([("password = hunter2hunter2",), ("none here",), (None,)], "text string")
+    monkeypatch.setattr(type(spark), "createDataFrame", refused)
+    ledger, findings = secret_scan.scan(docs)
+    again, same = secret_scan.scan(docs, ledger)
+    assert ledger.count() == 3 * len(secret_scan.RULES) - ledger.filter("blob IS NULL").count() and again.isEmpty()
+    assert findings.collect() == same.collect() and findings.count() == 1
