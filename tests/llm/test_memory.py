@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 from docloom.llm import decontaminate, jaccard_join, secret_scan
 from docloom.llm.wordhash import shingle_sets
-from docloom.staging import scratch_root, temporary
+from docloom.staging import scratch_root, stage, temporary
 from pyspark.sql import functions as F
 
 NO_WINDOW = np.zeros(64, dtype=np.uint64)
@@ -77,7 +77,9 @@ def test_a_leak_search_leaves_its_result_alone(spark):
 
 def test_sets_are_measured_by_one_worker_a_task(spark):
     sets = spark.createDataFrame([(k, np.arange(k, k + 9, dtype=np.uint64).tobytes()) for k in range(40)], "key long, shingles binary")
+    sets = stage(sets, "test-sets")
     pairs = spark.createDataFrame([(k, k + 1, 9, 9) for k in range(30)], "x long, y long, nx long, ny long")
+    pairs = stage(pairs, "test-pairs")  # files of known size, small enough to be broadcast
 
     class Kept:
         def of(self, keys):
