@@ -52,8 +52,9 @@ SHINGLE, PERCENT = 5, 75
 SKETCH_CELLS, SKETCH_ROWS, SKETCH_CHUNK, SKETCH_FAN = 1 << 21, 2, 1 << 17, 512
 REGION_BITS = 1 << 25
 # By depth of the recursion: deep regions are few, so they may compare more pairs and take more pivots at once.
-LEAF_PAIRS, PIVOTS, BEST = (1 << 24,), (4, 16, 64, 128), (4, 16, None)  # BEST: pairs of a component in a list, at last all
-LIST, BLOCK, CELLS = 4096, 256, 1 << 22  # members of a list and of a block at most, entries of a matrix
+LEAF_PAIRS, PIVOTS, BEST = (1 << 28,), (4, 16, 64, 128), (4, 16, None)  # BEST: pairs of a component in a list, at last all
+LIST, BLOCK, CELLS = 1 << 14, 256, 1 << 22  # members of a list and of a block at most, entries of a matrix
+PAIRS_OUT = 1 << 18  # a task hands on the pairs of a list when it holds so many (8 MB), not all at its end
 LIST_SHINGLES = 1 << 26  # of all members of a list: 32 MB of pivots in a task
 RARE = 16  # a number that so many members share at most is counted pair by pair, not in a matrix
 FIRST_PICKS = 3
@@ -283,7 +284,12 @@ def _list_tasks(percent: int, best: int | None, across: bool):
         last = np.array([int.from_bytes(e[:8], "little") for e in ends], dtype=np.int64)
         bits = [np.frombuffer(e, np.uint16, offset=8) for e in ends]
         part = [key, n, side, comp, last, np.array([len(b) for b in bits])]
-        found, again = [], []
+        found, held, again = [], 0, []
+
+        def pairs_of() -> pa.RecordBatch:
+            pairs = np.ascontiguousarray(np.concatenate(found, axis=1))
+            return pa.RecordBatch.from_arrays([*(pa.array(c) for c in pairs), pa.nulls(pairs.shape[1], pa.int64())], names)
+
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
             if b - a < 2 or (comp[a:b] == comp[a]).all():
                 continue
@@ -297,11 +303,14 @@ def _list_tasks(percent: int, best: int | None, across: bool):
                 more |= left
                 if pairs is not None:
                     found.append(pairs)
+                    held += pairs.shape[1]
+                if held >= PAIRS_OUT:
+                    yield pairs_of()
+                    found, held = [], 0
             if more:
                 again.append(region[a])
         if found:
-            pairs = np.ascontiguousarray(np.concatenate(found, axis=1))
-            yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in pairs), pa.nulls(pairs.shape[1], pa.int64())], names)
+            yield pairs_of()
         if again:
             yield pa.RecordBatch.from_arrays([*(pa.nulls(len(again), pa.int64()) for _ in names[1:]), pa.array(again, pa.int64())], names)
 
